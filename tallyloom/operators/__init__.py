@@ -7,6 +7,7 @@ from .aggregates import (
     with_row_metrics,
 )
 from .filters import (
+    COMPLETED,
     EmptyInput,
     completed,
     dedupe,
@@ -25,6 +26,7 @@ from .sorting import sort_daily, sort_kpi
 from .windows import lag_metric, months_back, previous_active, previous_calendar
 
 __all__ = [
+    "COMPLETED",
     "EmptyInput",
     "append",
     "completed",
