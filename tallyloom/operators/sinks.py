@@ -6,10 +6,12 @@ must have one writer at a time.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.targets import Target, exists, read_state
@@ -39,23 +41,34 @@ def append(df: DataFrame, target: Target) -> None:
 
 
 def materialize(df: DataFrame, target: Target) -> None:
-    """Replace the whole target."""
+    """Replace the whole target, also partitions that the new rows do not touch."""
     writer = _rebalanced(df, target).write.mode("overwrite").partitionBy(target.partition_by)
-    # Static, so that stored partitions the new rows do not touch go as well.
-    writer = writer.option("partitionOverwriteMode", "static")
     if target.is_path:
-        writer.parquet(target.location)
+        writer.option("partitionOverwriteMode", "static").parquet(target.location)
     else:
         writer.format("parquet").saveAsTable(target.location)
 
 
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """For catalog tables Spark takes the mode from the session, not from the writer."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _replace_partitions(df: DataFrame, target: Target) -> None:
     writer = _rebalanced(df, target).write.mode("overwrite")
-    writer = writer.option("partitionOverwriteMode", "dynamic")
     if target.is_path:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(target.partition_by).parquet(target.location)
     else:
-        writer.insertInto(target.location)
+        with _dynamic_overwrite(df.sparkSession):
+            writer.insertInto(target.location)
 
 
 def _require_unique(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:

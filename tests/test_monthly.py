@@ -1,0 +1,201 @@
+import datetime as dt
+
+import pytest
+from conftest import SF_DIR, rows, same_rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tallyloom import operators as op
+from tallyloom.checks import bindings
+from tallyloom.checks.queries import kpi_by_joins
+from tallyloom.plans import customer_kpi, kpi_columns
+
+GROWTH = ("customer_id", "order_month", "orders_mom_growth_pct")
+
+
+def month(text):
+    return dt.date.fromisoformat(text + "-01")
+
+
+def kpi(orders, lookback, *columns):
+    return rows(customer_kpi(orders, lookback), *columns)
+
+
+def test_repeated_order_id(make_orders):
+    orders = make_orders((1, 9, 10, "2024-01-05"), (1, 9, 20, "2024-01-06"))
+    columns = ("monthly_orders", "monthly_revenue", "avg_order_value")
+    assert kpi(orders, "active", *columns) == [(1, 30.0, 15.0)]
+
+
+def test_unfinished_orders_are_left_out(make_orders):
+    orders = make_orders(
+        (1, 1, 10, "2024-01-05"), (1, 2, 10, "2024-01-05", "open"), (1, 3, 10, "2024-01-05", None)
+    )
+    assert kpi(orders, "active", "monthly_orders") == [(1,)]
+
+
+def test_null_amounts(make_orders):
+    orders = make_orders((1, 1, None, "2024-01-05"), (1, 2, None, "2024-01-06"))
+    columns = ("monthly_orders", "monthly_revenue", "revenue_segment", "aov_segment")
+    assert kpi(orders, "active", *columns) == [(2, None, "Basic", "Low AOV")]
+
+
+def test_null_order_ids(make_orders):
+    orders = make_orders((1, None, 10, "2024-01-05"), (1, 5, 10, "2024-02-05"))
+    columns = ("order_month", "monthly_orders", "frequency_segment", "orders_mom_growth_pct")
+    for lookback in ("active", "calendar"):
+        assert kpi(orders, lookback, *columns) == [
+            (month("2024-01"), 0, "Inactive", None),
+            (month("2024-02"), 1, "Occasional", None),  # nothing to divide by
+        ]
+
+
+def test_null_keys(make_orders):
+    orders = make_orders(
+        (None, 1, 10, "2024-01-05"), (None, 2, 30, "2024-02-05"), (1, 3, 10, "2024-01-05"), (1, 4, 10, None)
+    )
+    columns = ("customer_id", "order_month", "prev_month_orders", "revenue_segment", "retention_status")
+    # By rows: values are carried over, but labels need a key.
+    assert kpi(orders, "active", *columns) == [
+        (1, month("2024-01"), None, "Basic", "New"),
+        (1, None, 1, None, None),
+        (None, month("2024-01"), None, None, None),
+        (None, month("2024-02"), 1, None, None),
+    ]
+    # By calendar: a null key has no earlier month.
+    assert kpi(orders, "calendar", *columns) == [
+        (1, month("2024-01"), None, "Basic", "New"),
+        (1, None, None, "Basic", "New"),
+        (None, month("2024-01"), None, "Basic", "New"),
+        (None, month("2024-02"), None, "Basic", "New"),
+    ]
+
+
+def test_gap_between_months(make_orders):
+    orders = make_orders((1, 1, 10, "2024-01-05"), (1, 2, 30, "2024-03-05"), (1, 3, 30, "2024-03-06"))
+    columns = ("order_month", "prev_month_orders", "prev_month_revenue", "orders_mom_growth_pct", "retention_status")
+    first = (month("2024-01"), None, None, None, "New")
+    assert kpi(orders, "active", *columns) == [
+        first, (month("2024-03"), 1, 10.0, 100.0, "Reactivated"),
+    ]
+    assert kpi(orders, "calendar", *columns) == [
+        first, (month("2024-03"), None, None, None, "Reactivated"),
+    ]
+
+
+def test_month_numbers_decide_retention(make_orders):
+    orders = make_orders(
+        (1, 1, 10, "2023-12-05"), (1, 2, 10, "2024-01-05"),
+        (2, 3, 10, "2023-01-05"), (2, 4, 10, "2024-02-05"),
+    )
+    for lookback in ("active", "calendar"):
+        got = kpi(orders, lookback, "customer_id", "order_month", "retention_status")
+        assert [r[2] for r in got] == ["New", "Reactivated", "New", "Retained"]
+
+
+def test_a_year_back_by_rows_and_by_calendar(make_orders):
+    # Every second month of two years: 12 rows back is two years back.
+    months = [f"{y}-{m:02d}-15" for y in (2022, 2023, 2024) for m in range(1, 13, 2)]
+    orders = make_orders(
+        *[(1, i * 100 + j, 10, at) for i, at in enumerate(months) for j in range(i + 1)]
+    )
+    by_rows = dict(kpi(orders, "active", "order_month", "orders_yoy_growth_pct"))
+    by_calendar = dict(kpi(orders, "calendar", "order_month", "orders_yoy_growth_pct"))
+    assert by_rows[month("2024-01")] == 1200.0  # 13 orders after 1
+    assert by_rows[month("2023-11")] is None
+    assert by_calendar[month("2024-01")] == 85.71  # 13 orders after 7
+    assert by_calendar[month("2022-11")] is None
+
+
+def test_layouts(make_orders):
+    orders = make_orders((1, 1, 10, "2024-01-05"))
+    active, calendar = customer_kpi(orders, "active"), customer_kpi(orders, "calendar")
+    assert len(active.columns) == 15 and len(calendar.columns) == 16
+    assert [c for c in calendar.columns if c != "prev_year_orders"] == active.columns
+    assert calendar.columns.index("prev_year_orders") == 7
+    with pytest.raises(ValueError):
+        customer_kpi(orders, "weekly")
+
+
+def test_one_window_equals_the_joined_shape(spark):
+    orders = bindings.orders(spark, SF_DIR)
+    monthly = op.monthly_orders(op.completed(orders, "order_status"))
+    assert same_rows(customer_kpi(orders), kpi_by_joins(monthly))
+
+
+def test_range_frame_equals_the_self_joins(spark):
+    orders = bindings.orders(spark, SF_DIR)
+    monthly = op.monthly_orders(op.completed(orders, "order_status"))
+    joined = op.lookup(monthly, monthly, 1, {"monthly_orders": "m", "monthly_revenue": "r"})
+    joined = op.lookup(joined, monthly, 12, {"monthly_orders": "y"})
+    window = op.previous_calendar(monthly).select(
+        *monthly.columns,
+        F.col("prev_month_orders").alias("m"),
+        F.col("prev_month_revenue").alias("r"),
+        F.col("prev_year_orders").alias("y"),
+    )
+    assert same_rows(window, joined)
+
+
+def test_declared_unique_order_ids(spark):
+    orders = bindings.orders(spark, SF_DIR)  # one row per order
+    assert same_rows(customer_kpi(orders), customer_kpi(orders, unique_order_id=True))
+
+
+def test_sorted_with_nulls_last(spark, make_orders):
+    orders = make_orders(
+        (None, 1, 1, "2024-01-01"), (2, 2, 1, None), (2, 3, 1, "2024-02-01"), (1, 4, 1, "2024-03-01")
+    )
+    got = op.sort_kpi(customer_kpi(orders)).select("customer_id", "order_month").collect()
+    assert [tuple(r) for r in got] == [
+        (1, month("2024-03")), (2, month("2024-02")), (2, None), (None, month("2024-01")),
+    ]
+
+
+def brute_force(rows_in):
+    """(customer, month) -> (orders, previous active, previous calendar, year before)."""
+    ids = {}
+    for customer, order, _, at in rows_in:
+        ids.setdefault((customer, at[:7]), set()).add(order)
+    counts = {k: len(v - {None}) for k, v in ids.items()}
+    out = {}
+    for (customer, m), n in counts.items():
+        active = sorted(mm for c, mm in counts if c == customer and mm < m)
+        year, number = int(m[:4]), int(m[5:])
+        before = f"{year - (number == 1)}-{(number - 2) % 12 + 1:02d}"
+        out[customer, m] = (
+            n,
+            counts[customer, active[-1]] if active else None,
+            counts.get((customer, before)),
+            counts.get((customer, f"{year - 1}-{number:02d}")),
+        )
+    return out
+
+
+order_rows = st.lists(
+    st.tuples(
+        st.integers(1, 3),
+        st.one_of(st.none(), st.integers(1, 20)),
+        st.integers(1, 1000),
+        st.builds("{}-{:02d}-1{}".format, st.integers(2022, 2024), st.integers(1, 12), st.integers(0, 9)),
+    ),
+    min_size=1,
+    max_size=60,
+)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(order_rows)
+def test_lookbacks_by_brute_force(make_orders, data):
+    want = brute_force(data)
+    monthly = op.monthly_orders(make_orders(*data))
+    active = op.previous_active(monthly).collect()
+    calendar = op.previous_calendar(monthly).collect()
+    assert len(active) == len(calendar) == len(want)
+    for r in active:
+        n, previous, _, _ = want[r.customer_id, r.order_month.isoformat()[:7]]
+        assert (r.monthly_orders, r.prev_month_orders) == (n, previous)
+    for r in calendar:
+        n, _, previous, year = want[r.customer_id, r.order_month.isoformat()[:7]]
+        assert (r.monthly_orders, r.prev_month_orders, r.prev_year_orders) == (n, previous, year)
