@@ -14,7 +14,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..sources.targets import Target, exists, read_state
+from ..sources.targets import Target, exists, find_state
 from .filters import require
 
 
@@ -101,18 +101,24 @@ def merge(stored: DataFrame, batch: DataFrame, target: Target) -> DataFrame:
 
 
 def upsert(
-    df: DataFrame, target: Target, touching: Column | None = None, unique: bool = False
+    df: DataFrame,
+    target: Target,
+    touching: Column | None = None,
+    unique: bool = False,
+    stored: DataFrame | None = None,
 ) -> None:
     """Insert rows with new keys, replace rows with known keys, keep all others.
 
     Only the touched partitions are read and rewritten. ``touching`` names them as a
     predicate on the partition column; without it the batch is computed once more to find
     them. ``unique=True`` states that the batch has one row per key by construction;
-    otherwise a repeated key fails the job.
+    otherwise a repeated key fails the job. ``stored`` is the target's present state where
+    the caller has it open.
     """
-    spark = df.sparkSession
     batch = df if unique else _require_unique(df, target.keys)
-    if not exists(spark, target):
+    if stored is None:
+        stored = find_state(df.sparkSession, target)
+    if stored is None:
         append(batch, target)
         return
     if touching is None:
@@ -120,4 +126,4 @@ def upsert(
     else:
         # A row outside would replace a partition whose stored rows were not read.
         batch = require(batch, touching, "a row lies outside the partitions named as touched")
-    _replace_partitions(merge(read_state(spark, target).where(touching), batch, target), target)
+    _replace_partitions(merge(stored.where(touching), batch, target), target)

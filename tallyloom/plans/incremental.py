@@ -17,7 +17,7 @@ from ..operators import (
     previous_calendar,
     upsert,
 )
-from ..sources import Target, exists, read_orders, read_state
+from ..sources import Target, find_state, read_orders
 from .monthly import customer_kpi, kpi_columns
 
 METRICS = ("monthly_orders", "monthly_revenue", "avg_order_value")
@@ -46,16 +46,23 @@ def _batch_over_stored(batch: DataFrame, stored: DataFrame) -> DataFrame:
     """Both sets of customer-months, a stored one only where the batch has none.
 
     A month that is computed anew must be compared with by its new values, so the batch row
-    sorts first and the row after it with the same month is dropped. This partitions and
-    sorts by what the lookups need next: no join and no further shuffle.
+    sorts first and the row after it with the same month is dropped. Customers without any
+    batch row go too. This partitions and sorts by what the lookups need next: no join and
+    no further shuffle.
     """
     both = batch.withColumn("_stored", F.lit(0)).unionByName(
         stored.withColumn("_stored", F.lit(1))
     )
     both = both.withColumn("_index", month_index("order_month"))
     rows = Window.partitionBy("customer_id").orderBy("_index", "_stored")
-    repeated = F.col("_index").eqNullSafe(F.lag("_index").over(rows))
-    return both.withColumn("_repeated", repeated).where(~F.col("_repeated")).drop("_repeated")
+    whole = rows.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    marked = both.withColumns(
+        {
+            "_repeated": F.col("_index").eqNullSafe(F.lag("_index").over(rows)),
+            "_absent": F.min("_stored").over(whole) == 1,
+        }
+    )
+    return marked.where(~F.col("_repeated") & ~F.col("_absent")).drop("_repeated", "_absent")
 
 
 def _refresh(
@@ -94,11 +101,12 @@ def run_customer_kpi(
     Returns the first month computed anew, None for a full build.
     """
     orders = read_orders(spark, src)
-    state = read_state(spark, target)
-    since = high_water_mark(state, lookback_months) if exists(spark, target) else None
+    state = find_state(spark, target)
+    since = None if state is None else high_water_mark(state, lookback_months)
     if since is None:
         materialize(customer_kpi(orders, "calendar", unique_order_id), target)
         return None
     batch = _refresh(orders, state, since, unique_order_id)
-    upsert(batch, target, touching=F.col("order_month") >= F.lit(since), unique=True)
+    recent = F.col("order_month") >= F.lit(since)
+    upsert(batch, target, touching=recent, unique=True, stored=state)
     return since

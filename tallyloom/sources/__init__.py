@@ -9,7 +9,7 @@ from .readers import (
     stage,
     table_name,
 )
-from .targets import Target, daily_target, exists, kpi_target, read_state
+from .targets import Target, daily_target, exists, find_state, kpi_target, read_state
 
 __all__ = [
     "SchemaMismatch",
@@ -17,6 +17,7 @@ __all__ = [
     "conform",
     "daily_target",
     "exists",
+    "find_state",
     "jdbc_day_slices",
     "kpi_target",
     "read_jdbc_sales",

@@ -44,28 +44,38 @@ def kpi_target(location: str, lookback: str = "calendar") -> Target:
     return Target(location, schema, ("customer_id", "order_month"), "order_month")
 
 
-def _open(spark: SparkSession, target: Target) -> DataFrame | None:
+def find_state(spark: SparkSession, target: Target) -> DataFrame | None:
+    """What the target holds now; None before the first run.
+
+    Opening a path lists its files. A job that needs the state more than once should open it
+    once and pass it on.
+    """
     if not target.is_path:
-        return spark.table(target.location) if spark.catalog.tableExists(target.location) else None
+        if not spark.catalog.tableExists(target.location):
+            return None
+        return spark.table(target.location).select(*target.columns)
     try:
-        return spark.read.schema(target.schema).parquet(target.location)
+        df = spark.read.schema(target.schema).parquet(target.location)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
+    return df.select(*target.columns)
 
 
 def exists(spark: SparkSession, target: Target) -> bool:
-    return _open(spark, target) is not None
+    return find_state(spark, target) is not None
+
+
+def empty_state(spark: SparkSession, target: Target) -> DataFrame:
+    """No rows. Folds to an empty local relation, so joins and unions with it fold away."""
+    nothing = spark.range(1).where(F.lit(False))
+    return nothing.select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in target.schema.fields]
+    )
 
 
 def read_state(spark: SparkSession, target: Target) -> DataFrame:
     """What the target holds now; an empty frame of its schema before the first run."""
-    df = _open(spark, target)
-    if df is None:
-        # Folds to an empty local relation, so joins and unions with it fold away too.
-        nothing = spark.range(1).where(F.lit(False))
-        return nothing.select(
-            *[F.lit(None).cast(f.dataType).alias(f.name) for f in target.schema.fields]
-        )
-    return df.select(*target.columns)
+    found = find_state(spark, target)
+    return empty_state(spark, target) if found is None else found

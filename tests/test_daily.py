@@ -1,7 +1,10 @@
 import datetime as dt
 
+import pandas as pd
 import pytest
 from conftest import SF_DIR, rows, same_rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallyloom import plans, sources
@@ -155,3 +158,33 @@ def test_where_all(make_sales):
     sales = make_sales(done(1, 1, 5), done(2, 2, 6))
     assert op.where_all(sales).count() == 2
     assert op.where_all(sales, F.col("customer_id") == 1, F.col("amount") > 5).count() == 0
+
+
+sale_rows = st.lists(
+    st.tuples(
+        st.one_of(st.none(), st.integers(1, 9)),
+        st.one_of(st.none(), st.integers(1, 4)),
+        st.integers(1, 2),
+        st.one_of(st.none(), st.integers(-500, 500)),
+        st.sampled_from(["completed", "completed", "open", None]),
+        st.builds("2024-01-{:02d} {:02d}:00:00".format, st.integers(8, 10), st.integers(0, 23)),
+    ),
+    min_size=1,
+    max_size=40,
+)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(sale_rows, st.booleans())
+def test_totals_equal_pandas(make_sales, data, drop_repeats):
+    """Null customers are dropped and all-null totals are 0, as a pandas group-by does."""
+    columns = ["order_id", "customer_id", "product_id", "amount", "status", "created_at"]
+    frame = pd.DataFrame(data, columns=columns)
+    frame["amount"] = frame["amount"].astype("float64")
+    frame = frame[(frame["status"] == "completed") & frame["created_at"].str.startswith("2024-01-09")]
+    if drop_repeats:
+        frame = frame.drop_duplicates()
+    groups = frame.groupby("customer_id").agg({"amount": "sum", "order_id": "count"}).reset_index()
+    want = [(int(c), float(total), int(n)) for c, total, n in groups.itertuples(index=False)]
+    got = plans.daily_job(make_sales(*data), D, drop_repeats)
+    assert rows(got, "customer_id", "daily_total", "daily_orders") == want

@@ -2,6 +2,8 @@ import datetime as dt
 
 import pytest
 from conftest import SF_DIR, rows, same_rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallyloom import operators as op
@@ -121,3 +123,27 @@ def test_null_keys_survive_a_refresh(spark, make_orders, new_path):
     for _ in range(2):
         run_customer_kpi(spark, orders, target)
         assert same_rows(sources.read_state(spark, target), customer_kpi(orders, "calendar"))
+
+
+order_rows = st.lists(
+    st.tuples(
+        st.one_of(st.none(), st.integers(1, 3)),
+        st.one_of(st.none(), st.integers(1, 30)),
+        st.one_of(st.none(), st.integers(1, 9000)),
+        st.builds("{}-{:02d}-1{}".format, st.integers(2022, 2024), st.integers(1, 12), st.integers(0, 9)),
+    ),
+    min_size=2,
+    max_size=50,
+)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(order_rows, st.dates(dt.date(2022, 2, 1), dt.date(2024, 12, 31)), st.integers(0, 3))
+def test_any_refresh_equals_the_full_rebuild(make_orders, data, day, lookback_months):
+    orders = make_orders(*data)
+    full = customer_kpi(orders, "calendar")
+    state = customer_kpi(before(orders, day), "calendar")
+    batch = customer_kpi_incremental(orders, state, lookback_months)
+    mark = op.high_water_mark(state, lookback_months)
+    want = full if mark is None else full.where(F.col("order_month") >= F.lit(mark))
+    assert same_rows(batch, want)
