@@ -18,20 +18,25 @@ from ..sources.targets import Target, exists, find_state
 from .filters import require
 
 
-def _rebalanced(df: DataFrame, target: Target) -> DataFrame:
-    """The target's columns, gathered by partition value.
-
-    Without it every task would write a file into every partition. The rebalance lets
-    adaptive execution split a partition value that is too big for one task and join small
-    ones, which a plain repartition by a few dates or months would not.
+def _arranged(df: DataFrame, target: Target) -> DataFrame:
+    """The target's columns, gathered by partition value and sorted by key within a task.
+
+    Without the gathering every task would write a file into every partition. The rebalance
+    lets adaptive execution split a partition value that is too big for one task and join
+    small ones, which a plain repartition by a few dates or months would not. The writer
+    sorts by partition value anyway; sorted by key as well, the key column packs tightly,
+    and a refresh reads it for the whole history.
     """
-    return df.select(*target.stored_columns).hint("rebalance", F.col(target.partition_by))
+    part = F.col(target.partition_by)
+    rest = [k for k in target.keys if k != target.partition_by]
+    gathered = df.select(*target.stored_columns).hint("rebalance", part)
+    return gathered.sortWithinPartitions(part, *rest)
 
 
 def append(df: DataFrame, target: Target) -> None:
     """Add the rows. Nothing is compared with the stored rows: a second run doubles them."""
     spark = df.sparkSession
-    writer = _rebalanced(df, target).write.mode("append")
+    writer = _arranged(df, target).write.mode("append")
     if target.is_path:
         writer.partitionBy(target.partition_by).parquet(target.location)
     elif exists(spark, target):
@@ -42,7 +47,7 @@ def append(df: DataFrame, target: Target) -> None:
 
 def materialize(df: DataFrame, target: Target) -> None:
     """Replace the whole target, also partitions that the new rows do not touch."""
-    writer = _rebalanced(df, target).write.mode("overwrite").partitionBy(target.partition_by)
+    writer = _arranged(df, target).write.mode("overwrite").partitionBy(target.partition_by)
     if target.is_path:
         writer.option("partitionOverwriteMode", "static").parquet(target.location)
     else:
@@ -62,7 +67,7 @@ def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
 
 
 def _replace_partitions(df: DataFrame, target: Target) -> None:
-    writer = _rebalanced(df, target).write.mode("overwrite")
+    writer = _arranged(df, target).write.mode("overwrite")
     if target.is_path:
         writer = writer.option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(target.partition_by).parquet(target.location)
