@@ -32,13 +32,11 @@ def _history(state: DataFrame, since: dt.date, like: DataFrame) -> DataFrame:
     year_before = F.add_months(F.lit(since), -12)
     recent = state.where(F.col("order_month") >= year_before)
     older = last_month(state.where(F.col("order_month") < year_before))
-    types = {name: like.schema[name].dataType for name in METRICS}
-    return recent.select(
-        "customer_id", "order_month", *[F.col(n).cast(t).alias(n) for n, t in types.items()]
-    ).unionByName(
-        older.select(
-            "customer_id", "order_month", *[F.lit(None).cast(t).alias(n) for n, t in types.items()]
-        )
+    # Revenue is stored as a double; as the decimal it came from, differences are exact again.
+    revenue = F.col("monthly_revenue").cast(like.schema["monthly_revenue"].dataType)
+    recent = recent.select("customer_id", "order_month", *METRICS)
+    return recent.withColumn("monthly_revenue", revenue).unionByName(
+        older, allowMissingColumns=True
     )
 
 

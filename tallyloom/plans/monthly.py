@@ -16,6 +16,9 @@ from ..functions import (
 from ..operators import completed, monthly_orders, previous_active, previous_calendar
 from ..operators.windows import known_key
 
+# Decimals up to here, doubles in the result.
+MONEY_COLUMNS = ("monthly_revenue", "prev_month_revenue")
+
 
 def kpi_columns(monthly: DataFrame, lookback: str) -> DataFrame:
     """KPI rows from customer-months that carry their previous values."""
@@ -38,7 +41,9 @@ def kpi_columns(monthly: DataFrame, lookback: str) -> DataFrame:
         }
     )
     schema = schemas.KPI_ACTIVE if lookback == "active" else schemas.KPI_CALENDAR
-    return derived.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return derived.select(
+        *[F.col(n).cast("double").alias(n) if n in MONEY_COLUMNS else n for n in schema.names]
+    )
 
 
 def customer_kpi(

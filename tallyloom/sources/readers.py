@@ -97,13 +97,9 @@ def read_jdbc_sales(
     Without slices one connection, hence one task, would read everything. Column selection
     and later filters are pushed into each slice's statement.
     """
-    df = spark.read.jdbc(
-        url,
-        table,
-        predicates=jdbc_day_slices(lo, hi, slices_per_day),
-        properties={"preferTimestampNTZ": "true", **(properties or {})},
-    )
-    return conform(df, schemas.SALES)
+    slices = jdbc_day_slices(lo, hi, slices_per_day)
+    reader = spark.read.option("preferTimestampNTZ", "true")
+    return conform(reader.jdbc(url, table, predicates=slices, properties=properties), schemas.SALES)
 
 
 def scratch_dir(spark: SparkSession) -> str:

@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallyloom import operators as op
+from tallyloom import schemas
 from tallyloom.checks import bindings
 from tallyloom.checks.queries import kpi_by_joins
 from tallyloom.plans import customer_kpi, kpi_columns
@@ -114,6 +115,8 @@ def test_layouts(make_orders):
     assert len(active.columns) == 15 and len(calendar.columns) == 16
     assert [c for c in calendar.columns if c != "prev_year_orders"] == active.columns
     assert calendar.columns.index("prev_year_orders") == 7
+    for df, schema in ((active, schemas.KPI_ACTIVE), (calendar, schemas.KPI_CALENDAR)):
+        assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in schema]
     with pytest.raises(ValueError):
         customer_kpi(orders, "weekly")
 

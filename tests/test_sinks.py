@@ -107,15 +107,31 @@ def test_require(spark, frame):
             op.require(df, condition, "no orders").collect()
 
 
-def test_one_file_per_partition_value(spark, new_path, frame):
-    """Without the gathering, each of the tasks would write into each of the dates."""
-    target = sources.daily_target(new_path)
-    days = F.expr("date_add(DATE'2024-01-01', CAST(id % 5 AS INT))")
-    many = spark.range(0, 1000, 1, 8).select(
+def many_rows(spark, rows, days):
+    return spark.range(0, rows, 1, 8).select(
         F.col("id").alias("customer_id"),
         F.lit(1.0).alias("daily_total"),
         F.lit(1).cast("long").alias("daily_orders"),
-        days.alias("date"),
+        F.expr(f"date_add(DATE'2024-01-01', CAST(id % {days} AS INT))").alias("date"),
     )
-    op.append(many, target)
+
+
+def test_one_file_per_partition_value(spark, new_path):
+    """Without the gathering, each of the tasks would write into each of the dates."""
+    target = sources.daily_target(new_path)
+    op.append(many_rows(spark, 1000, 5), target)
     assert len(sources.read_state(spark, target).inputFiles()) == 5
+
+
+def test_a_large_partition_value_is_split(spark, new_path):
+    """All rows fall on one day: they must not end up in one task."""
+    target = sources.daily_target(new_path)
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "256KB")
+    try:
+        op.append(many_rows(spark, 1_000_000, 1), target)
+    finally:
+        spark.conf.unset(size)
+    stored = sources.read_state(spark, target)
+    assert len(stored.inputFiles()) > 4
+    assert stored.count() == 1_000_000

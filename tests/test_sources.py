@@ -2,6 +2,7 @@ import datetime as dt
 
 import pytest
 from conftest import same_rows
+from pyspark.sql import DataFrameReader
 from pyspark.sql import functions as F
 
 from tallyloom import schemas, sources
@@ -64,6 +65,22 @@ def test_jdbc_slices_cover_the_days_once():
         sources.jdbc_day_slices(dt.date(2024, 1, 1), dt.date(2024, 1, 1), 2)
 
 
+def test_jdbc_read_is_sliced_and_conformed(spark, make_sales, monkeypatch):
+    """Only the call is checked: no database may be started here."""
+    calls = []
+    table = make_sales((1, 2, 3, 4.5, "completed", "2024-01-01 10:00:00"))
+
+    def jdbc(reader, url, name, predicates, properties):
+        calls.append((url, name, len(predicates), properties))
+        return table.withColumn("more", F.lit(1))
+
+    monkeypatch.setattr(DataFrameReader, "jdbc", jdbc)
+    days = (dt.date(2024, 1, 1), dt.date(2024, 1, 3))
+    got = sources.read_jdbc_sales(spark, "jdbc:x", "dev.sales", *days, properties={"user": "u"})
+    assert same_rows(got, table)
+    assert calls == [("jdbc:x", "dev.sales", 48, {"user": "u"})]
+
+
 def test_scratch_is_under_the_shared_folder(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     first, second = sources.scratch_dir(spark), sources.scratch_dir(spark)
