@@ -91,16 +91,18 @@ def _touched(df: DataFrame, target: Target) -> Column:
 
 
 def merge(stored: DataFrame, batch: DataFrame, target: Target) -> DataFrame:
-    """Stored rows with the batch put over them; null keys are equal to each other.
+    """Stored rows with the batch put over them.
 
     One full join, in which each side is computed once. An anti-join and a union would
     compute the batch twice, as the two uses need different columns.
     """
     s = stored.alias("s")
     b = batch.select(*target.columns, F.lit(True).alias("_given")).alias("b")
-    same = reduce(and_, [F.col(f"s.{k}").eqNullSafe(F.col(f"b.{k}")) for k in target.keys])
+    pairs = [(F.col(f"s.{k}"), F.col(f"b.{k}")) for k in target.keys]
+    # Plain equality keeps the partitioning of a batch that was grouped by its key.
+    same = [x.eqNullSafe(y) if target.null_keys else x == y for x, y in pairs]
     given = F.col("b._given")
-    return s.join(b, same, "full").select(
+    return s.join(b, reduce(and_, same), "full").select(
         *[F.when(given, F.col(f"b.{c}")).otherwise(F.col(f"s.{c}")).alias(c) for c in target.columns]
     )
 
@@ -117,10 +119,13 @@ def upsert(
     Only the touched partitions are read and rewritten. ``touching`` names them as a
     predicate on the partition column; without it the batch is computed once more to find
     them. ``unique=True`` states that the batch has one row per key by construction;
-    otherwise a repeated key fails the job. ``stored`` is the target's present state where
-    the caller has it open.
+    otherwise a repeated key fails the job. A null key fails it where the target has none.
+    ``stored`` is the target's present state where the caller has it open.
     """
     batch = df if unique else _require_unique(df, target.keys)
+    if not target.null_keys:
+        known = reduce(and_, [F.col(k).isNotNull() for k in target.keys])
+        batch = require(batch, known, f"a key column is null ({', '.join(target.keys)})")
     if stored is None:
         stored = find_state(df.sparkSession, target)
     if stored is None:

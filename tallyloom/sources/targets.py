@@ -14,12 +14,16 @@ from .. import schemas
 
 @dataclass(frozen=True)
 class Target:
-    """A Parquet table, in the catalog or at a path (a location with a slash)."""
+    """A Parquet table, in the catalog or at a path (a location with a slash).
+
+    ``null_keys`` states that key columns may be null, and that nulls are equal to each other.
+    """
 
     location: str
     schema: T.StructType
     keys: tuple[str, ...]
     partition_by: str
+    null_keys: bool = False
 
     @property
     def is_path(self) -> bool:
@@ -41,7 +45,8 @@ def daily_target(location: str) -> Target:
 
 def kpi_target(location: str, lookback: str = "calendar") -> Target:
     schema = schemas.KPI_CALENDAR if lookback == "calendar" else schemas.KPI_ACTIVE
-    return Target(location, schema, ("customer_id", "order_month"), "order_month")
+    keys = ("customer_id", "order_month")
+    return Target(location, schema, keys, partition_by="order_month", null_keys=True)
 
 
 def find_state(spark: SparkSession, target: Target) -> DataFrame | None:

@@ -83,7 +83,10 @@ def test_previous_active_month_far_back(spark, make_orders, new_path):
     target = sources.kpi_target(new_path)
     old = [(1, 1, 10, "2019-04-05"), (2, 2, 10, "2024-01-05")]
     run_customer_kpi(spark, make_orders(*old), target)
-    new = [(1, 3, 10, "2024-05-01"), (3, 4, 10, "2024-05-01"), (2, 5, 10, "2024-02-01"), (2, 6, 10, "2024-05-01")]
+    new = [
+        (1, 3, 10, "2024-05-01"), (3, 4, 10, "2024-05-01"),
+        (2, 5, 10, "2024-02-01"), (2, 6, 10, "2024-05-01"),
+    ]
     run_customer_kpi(spark, make_orders(*old, *new), target)
     columns = ("customer_id", "order_month", "retention_status")
     assert rows(sources.read_state(spark, target), *columns) == [

@@ -10,7 +10,7 @@ from tallyloom import operators as op
 from tallyloom import schemas
 from tallyloom.checks import bindings
 from tallyloom.checks.queries import kpi_by_joins
-from tallyloom.plans import customer_kpi, kpi_columns
+from tallyloom.plans import customer_kpi
 
 GROWTH = ("customer_id", "order_month", "orders_mom_growth_pct")
 
@@ -74,8 +74,11 @@ def test_null_keys(make_orders):
 
 
 def test_gap_between_months(make_orders):
-    orders = make_orders((1, 1, 10, "2024-01-05"), (1, 2, 30, "2024-03-05"), (1, 3, 30, "2024-03-06"))
-    columns = ("order_month", "prev_month_orders", "prev_month_revenue", "orders_mom_growth_pct", "retention_status")
+    orders = make_orders(
+        (1, 1, 10, "2024-01-05"), (1, 2, 30, "2024-03-05"), (1, 3, 30, "2024-03-06")
+    )
+    previous = ("prev_month_orders", "prev_month_revenue")
+    columns = ("order_month", *previous, "orders_mom_growth_pct", "retention_status")
     first = (month("2024-01"), None, None, None, "New")
     assert kpi(orders, "active", *columns) == [
         first, (month("2024-03"), 1, 10.0, 100.0, "Reactivated"),

@@ -113,6 +113,16 @@ def test_upsert_computes_the_batch_once(spark, orders, target):
     assert "PartitionFilters: [isnotnull(order_month" in plan
 
 
+def test_backfill_upsert_reuses_the_grouping(spark, sales, tmp_path):
+    target = sources.daily_target(str(tmp_path / "daily"))
+    op.append(plans.daily_job(sales, dt.date(2024, 1, 10)), target)
+    batch = plans.daily_backfill(sales, dt.date(2024, 1, 5), dt.date(2024, 1, 9), False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = final_plan(merge(sources.read_state(spark, target), batch, target))
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert count(plan, "Exchange") == 2  # one to group the batch, one for the stored rows
+
+
 def test_empty_state_folds_away(spark, orders, new_path):
     state = sources.read_state(spark, sources.kpi_target(new_path))
     joined = op.lookup(op.monthly_orders(orders), state, 1, {"monthly_orders": "before"})

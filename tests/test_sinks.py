@@ -1,4 +1,5 @@
 import datetime as dt
+from dataclasses import replace
 
 import pytest
 from conftest import rows, same_rows
@@ -81,12 +82,19 @@ def test_a_row_outside_the_named_partitions_fails(spark, target, frame):
     assert stored(spark, target) == [(1, 1.0, 1, A), (2, 2.0, 2, B)]
 
 
-def test_null_keys_are_replaced_not_repeated(spark, target, frame):
+def test_null_keys_where_allowed_are_replaced_not_repeated(spark, target, frame):
+    target = replace(target, null_keys=True)
     for total in (1.0, 2.0):
         op.upsert(frame((None, total, 1, A), (1, total, 1, None)), target)
     assert stored(spark, target) == [(1, 2.0, 1, None), (None, 2.0, 1, A)]
 
 
+@pytest.mark.parametrize("row", [(None, 1.0, 1, A), (1, 1.0, 1, None)])
+def test_null_keys_elsewhere_fail(target, frame, row):
+    with pytest.raises(Exception, match="a key column is null"):
+        op.upsert(frame(row), target)
+
+
 def test_append(spark, target, frame):
     for _ in range(2):
         op.append(frame((1, 1.0, 1, A)), target)
