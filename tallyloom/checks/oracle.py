@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ..functions import kpi
 from .bindings import BACKFILL_END, BACKFILL_START, ORDERS_SQL, RUN_DATE, SALES_SQL, SPLIT
 
 ORDERS = ORDERS_SQL.format(orders="orders")
@@ -40,18 +41,21 @@ def months_of(source: str) -> str:
 REVENUE = "CAST(revenue AS DOUBLE) AS monthly_revenue"
 MONTH_COLUMNS = f"{KEY}, monthly_orders, {REVENUE}, avg_order_value"
 
-SEGMENTS = """
-    CASE WHEN revenue >= 10000 THEN 'VIP' WHEN revenue >= 5000 THEN 'Premium'
-         WHEN revenue >= 1000 THEN 'Regular' ELSE 'Basic' END AS revenue_segment,
-    CASE WHEN monthly_orders >= 20 THEN 'Frequent' WHEN monthly_orders >= 10 THEN 'Active'
-         WHEN monthly_orders >= 1 THEN 'Occasional' ELSE 'Inactive' END AS frequency_segment,
-    CASE WHEN avg_order_value >= 500 THEN 'High AOV'
-         WHEN avg_order_value >= 200 THEN 'Medium AOV' ELSE 'Low AOV' END AS aov_segment"""
 
-RETENTION = """
-    CASE WHEN p_month IS NULL THEN 'New'
-         WHEN MONTH(order_month) - MONTH(p_month) = 1 THEN 'Retained'
-         ELSE 'Reactivated' END AS retention_status"""
+def label(column: str, lower_bounds: tuple[tuple[int, str], ...], rest: str) -> str:
+    branches = " ".join(f"WHEN {column} >= {bound} THEN '{name}'" for bound, name in lower_bounds)
+    return f"CASE {branches} ELSE '{rest}' END"
+
+
+SEGMENTS = f"""
+    {label('revenue', kpi.REVENUE_SEGMENTS, kpi.REVENUE_REST)} AS revenue_segment,
+    {label('monthly_orders', kpi.FREQUENCY_SEGMENTS, kpi.FREQUENCY_REST)} AS frequency_segment,
+    {label('avg_order_value', kpi.AOV_SEGMENTS, kpi.AOV_REST)} AS aov_segment"""
+
+RETENTION = f"""
+    CASE WHEN p_month IS NULL THEN '{kpi.NEW}'
+         WHEN MONTH(order_month) - MONTH(p_month) = 1 THEN '{kpi.RETAINED}'
+         ELSE '{kpi.REACTIVATED}' END AS retention_status"""
 
 GROWTHS = f"""
     {growth('monthly_orders', 'p_orders')} AS orders_mom_growth_pct,
@@ -209,7 +213,7 @@ ORACLE: dict[str, str] = {
     "lag_prev_order_month": f"{WITH_ACTIVE} SELECT {KEY}, p_month AS prev_order_month FROM prev",
     # derived expressions
     **{
-        name: f"{WITH_ACTIVE}, kpi AS ({KPI_ACTIVE}) SELECT {KEY}, {column} FROM kpi"
+        name: f"{WITH_ACTIVE}, full_kpi AS ({KPI_ACTIVE}) SELECT {KEY}, {column} FROM full_kpi"
         for name, column in {
             "orders_mom_growth": "orders_mom_growth_pct",
             "revenue_mom_growth": "revenue_mom_growth_pct",
