@@ -69,6 +69,12 @@ def _state_and_batch(spark, d):
     return state, op.monthly_orders(op.completed(fresh, "order_status"))
 
 
+def _state_and_staged_batch(spark, d):
+    """For a batch that is joined with itself: each use would read the orders once more."""
+    state, batch = _state_and_batch(spark, d)
+    return state, src.stage(batch, src.scratch_dir(spark))
+
+
 # --- sources and sinks -----------------------------------------------------------------
 
 
@@ -268,7 +274,7 @@ def join_state_prev_month(spark, d):
 
 @query
 def join_batch_prev_month(spark, d):
-    _, batch = _state_and_batch(spark, d)
+    _, batch = _state_and_staged_batch(spark, d)
     return op.lookup(batch, batch, 1, PREV_MONTH)
 
 
@@ -280,7 +286,7 @@ def join_state_prev_year(spark, d):
 
 @query
 def join_batch_prev_year(spark, d):
-    _, batch = _state_and_batch(spark, d)
+    _, batch = _state_and_staged_batch(spark, d)
     return op.lookup(batch, batch, 12, PREV_YEAR)
 
 
@@ -388,7 +394,7 @@ for _key, _column in (
 @query
 def coalesce_prev_values(spark, d):
     """Previous values from the batch where it has the month, otherwise from the state."""
-    state, batch = _state_and_batch(spark, d)
+    state, batch = _state_and_staged_batch(spark, d)
     month = {"order_month": "m", **PREV_MONTH}
     df = batch.select(*KEYS)
     for side, prefix in ((batch, "b_"), (state, "s_")):

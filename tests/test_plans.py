@@ -49,6 +49,12 @@ def test_full_model_is_one_scan_and_one_window(orders, lookback):
     assert "EqualTo(order_status,completed)" in plan
 
 
+def test_columns_not_asked_for_cost_nothing(orders):
+    plan = final_plan(plans.customer_kpi(orders).select("customer_id", "revenue_segment"))
+    assert count(plan, "Window") == 0 and count(plan, "Exchange") == 1
+    assert "order_id" not in plan
+
+
 def test_hot_customers_are_spread_before_the_distinct_count(orders):
     plan = final_plan(plans.customer_kpi(orders))
     first_shuffle = re.findall(r"Exchange hashpartitioning\(([^)]*)", plan)[-1]
