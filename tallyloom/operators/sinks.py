@@ -14,6 +14,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources.readers import scratch_dir, stage
 from ..sources.targets import Target, exists, find_state
 from .filters import require
 
@@ -117,10 +118,10 @@ def upsert(
     """Insert rows with new keys, replace rows with known keys, keep all others.
 
     Only the touched partitions are read and rewritten. ``touching`` names them as a
-    predicate on the partition column; without it the batch is computed once more to find
-    them. ``unique=True`` states that the batch has one row per key by construction;
-    otherwise a repeated key fails the job. A null key fails it where the target has none.
-    ``stored`` is the target's present state where the caller has it open.
+    predicate on the partition column; without it the batch is staged first, to find them
+    without computing it twice. ``unique=True`` states that the batch has one row per key by
+    construction; otherwise a repeated key fails the job. A null key fails it where the
+    target has none. ``stored`` is the target's present state where the caller has it open.
     """
     batch = df if unique else _require_unique(df, target.keys)
     if not target.null_keys:
@@ -132,8 +133,8 @@ def upsert(
         append(batch, target)
         return
     if touching is None:
-        touching = _touched(df, target)
-    else:
-        # A row outside would replace a partition whose stored rows were not read.
-        batch = require(batch, touching, "a row lies outside the partitions named as touched")
+        batch = stage(batch, scratch_dir(df.sparkSession))
+        touching = _touched(batch, target)
+    # A row outside would replace a partition whose stored rows were not read.
+    batch = require(batch, touching, "a row lies outside the partitions named as touched")
     _replace_partitions(merge(stored.where(touching), batch, target), target)
