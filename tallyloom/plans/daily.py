@@ -6,6 +6,7 @@ A run for date D takes the sales of the day before, D-1, and labels them D.
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
@@ -21,6 +22,7 @@ from ..operators import (
     guard_nonempty,
     in_range,
     upsert,
+    with_row_metrics,
     with_run_date,
 )
 from ..sources import Target, read_sales, read_state
@@ -49,11 +51,18 @@ def daily_table(sales: DataFrame, drop_repeats: bool = True) -> DataFrame:
     return _layout(daily_stats(_finished(sales, drop_repeats), label), drop_repeats)
 
 
+def _of_run_date(rows: DataFrame, run_date: dt.date, drop_repeats: bool) -> DataFrame:
+    return _layout(with_run_date(daily_stats(rows), run_date), drop_repeats)
+
+
+def _rows_of_run_date(sales: DataFrame, run_date: dt.date, drop_repeats: bool) -> DataFrame:
+    return _finished(in_range(sales, "created_at", run_date - ONE_DAY, run_date), drop_repeats)
+
+
 def daily_job(sales: DataFrame, run_date: dt.date, drop_repeats: bool = True) -> DataFrame:
     """Totals of one run date."""
-    rows = in_range(sales, "created_at", run_date - ONE_DAY, run_date)
-    stats = daily_stats(_finished(rows, drop_repeats))
-    return _layout(with_run_date(stats, run_date), drop_repeats)
+    rows = _rows_of_run_date(sales, run_date, drop_repeats)
+    return _of_run_date(rows, run_date, drop_repeats)
 
 
 def daily_backfill(
@@ -66,6 +75,15 @@ def daily_backfill(
     return daily_table(in_range(sales, "created_at", start - ONE_DAY, end), drop_repeats)
 
 
+@dataclass(frozen=True)
+class DailyRun:
+    """A run that wrote something; with row counts where they were asked for."""
+
+    run_date: dt.date
+    extracted: int | None = None
+    written: int | None = None
+
+
 def run_daily(
     spark: SparkSession,
     src: DataFrame | str,
@@ -74,20 +92,31 @@ def run_daily(
     drop_repeats: bool = True,
     write: str = "upsert",
     on_empty: str = "skip",
-) -> bool:
-    """Compute one run date and write it. False when there was nothing to write."""
+    count_rows: bool = False,
+) -> DailyRun | None:
+    """Compute one run date and write it. None when there was nothing to write.
+
+    ``count_rows`` observes the rows that go into the totals and the totals written, within
+    the same job. It interrupts generated code, so it is off unless asked for.
+    """
     if write not in ("append", "upsert"):
         raise ValueError(f"write must be 'append' or 'upsert', not {write!r}")
     sales = read_sales(spark, src)
-    day = completed(in_range(sales, "created_at", run_date - ONE_DAY, run_date), "status")
-    if guard_nonempty(day, on_empty) is None:
-        return False
-    stats = daily_job(sales, run_date, drop_repeats)
+    if guard_nonempty(_rows_of_run_date(sales, run_date, False), on_empty) is None:
+        return None
+    rows = _rows_of_run_date(sales, run_date, drop_repeats)
+    if count_rows:
+        rows, extracted = with_row_metrics(rows, f"extracted {run_date}")
+    stats = _of_run_date(rows, run_date, drop_repeats)
+    if count_rows:
+        stats, written = with_row_metrics(stats, f"written {run_date}")
     if write == "append":
         append(stats, target)
     else:
         upsert(stats, target, touching=F.col("date") == F.lit(run_date), unique=True)
-    return True
+    if count_rows:
+        return DailyRun(run_date, extracted.get["rows"], written.get["rows"])
+    return DailyRun(run_date)
 
 
 def missed_run_dates(

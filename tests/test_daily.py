@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from tallyloom import plans, sources
 from tallyloom import operators as op
 from tallyloom.checks import bindings
-from tallyloom.plans.daily import missed_run_dates
 
 D = dt.date(2024, 1, 10)
 NOON = "2024-01-09 12:00:00"
@@ -109,7 +108,7 @@ def test_append_doubles_and_upsert_does_not(spark, make_sales, tmp_path):
 def test_empty_input(spark, make_sales, new_path):
     target = sources.daily_target(new_path)
     sales = make_sales((1, 1, 1, 5, "cancelled", NOON))
-    assert plans.run_daily(spark, sales, target, D) is False
+    assert plans.run_daily(spark, sales, target, D) is None
     assert not sources.exists(spark, target)
     with pytest.raises(op.EmptyInput):
         plans.run_daily(spark, sales, target, D, on_empty="raise")
@@ -136,7 +135,7 @@ def test_backfill_of_missed_days(spark, make_sales, new_path):
         done(4, 2, 8, "2024-01-12 08:00:00"),
     )
     start, end = dt.date(2024, 1, 7), dt.date(2024, 1, 12)
-    assert D not in missed_run_dates(spark, target, start, end)
+    assert D not in plans.missed_run_dates(spark, target, start, end)
     plans.run_daily_backfill(spark, sales, target, start, end, only_missed=True)
     want = [(1, 5.0, D), (1, 6.0, dt.date(2024, 1, 8)), (2, 7.0, dt.date(2024, 1, 12))]
     columns = ("customer_id", "daily_total", "date")
@@ -154,6 +153,18 @@ def test_row_metrics_come_from_the_run_itself(spark, make_sales):
     assert (extracted.get["rows"], transformed.get["rows"]) == (3, 2)
 
 
+@pytest.mark.parametrize("write", ["append", "upsert"])
+def test_a_run_reports_its_rows(spark, make_sales, new_path, write):
+    target = sources.daily_target(new_path)
+    sales = make_sales(done(1, 1, 5), done(1, 1, 5), done(2, 2, 6), done(3, None, 7))
+    run = dict(write=write, count_rows=True)
+    kept = plans.run_daily(spark, sales, target, D, drop_repeats=False, **run)
+    assert (kept.extracted, kept.written) == (4, 2)
+    dropped = plans.run_daily(spark, sales, target, D, drop_repeats=True, **run)
+    assert (dropped.extracted, dropped.written) == (3, 2)
+    assert plans.run_daily(spark, sales, target, D, write=write) == plans.DailyRun(D)
+
+
 def test_where_all(make_sales):
     sales = make_sales(done(1, 1, 5), done(2, 2, 6))
     assert op.where_all(sales).count() == 2
