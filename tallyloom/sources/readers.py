@@ -14,7 +14,10 @@ from pyspark.sql import types as T
 from .. import schemas
 
 _IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
-_INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_WIDENED_FROM = {
+    T.LongType: (T.ByteType, T.ShortType, T.IntegerType),
+    T.TimestampNTZType: (T.DateType,),
+}
 
 
 class SchemaMismatch(ValueError):
@@ -24,8 +27,9 @@ class SchemaMismatch(ValueError):
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The schema's columns, in its order and types.
 
-    Integers are widened and any decimal is kept as it is. Everything else must match: a
-    guessed cast of text, doubles or zoned timestamps would change results silently.
+    Integers are widened, a date becomes its midnight, and any decimal is kept as it is.
+    Everything else must match: a guessed cast of text, doubles or zoned timestamps would
+    change results silently. Filters still reach the scan through the casts.
     """
     found = {f.name: f.dataType for f in df.schema.fields}
     missing = [f.name for f in schema.fields if f.name not in found]
@@ -36,7 +40,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
         have, want = found[field.name], field.dataType
         if have == want or (isinstance(have, T.DecimalType) and isinstance(want, T.DecimalType)):
             columns.append(F.col(field.name))
-        elif isinstance(have, _INTEGERS) and isinstance(want, T.LongType):
+        elif isinstance(have, _WIDENED_FROM.get(type(want), ())):
             columns.append(F.col(field.name).cast(want).alias(field.name))
         else:
             raise SchemaMismatch(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyloom import operators as op
 from tallyloom import plans, schemas, sources
 from tallyloom.checks import bindings
+from tallyloom.functions import at_midnight
 from tallyloom.operators.sinks import merge
 
 
@@ -104,6 +105,15 @@ def test_refresh_prunes_source_and_state(spark, orders, target):
     assert "Join" not in plan
 
 
+def test_dates_as_input_prune_partitions(spark, orders, tmp_path):
+    by_day = orders.withColumn("order_date", F.to_date("order_date"))
+    by_month = by_day.withColumn("order_date", F.trunc("order_date", "month"))
+    by_month.write.partitionBy("order_date").parquet(str(tmp_path / "orders"))
+    source = sources.read_orders(spark, str(tmp_path / "orders"))
+    recent = source.where(F.col("order_date") >= at_midnight(dt.date(2001, 1, 1)))
+    assert re.search(r"PartitionFilters: \[[^\]]*order_date[^\]]*>= 2001-01-01", final_plan(recent))
+
+
 def test_refresh_sorts_once(spark, orders, target):
     plan = final_plan(plans.customer_kpi_incremental(orders, sources.read_state(spark, target)))
     assert count(plan, "Window") == 2

@@ -31,6 +31,12 @@ def test_integers_and_decimals_are_widened(spark, make_orders):
     assert (got["customer_id"], got["order_amount"]) == ("bigint", "decimal(22,4)")
 
 
+def test_dates_become_midnights(spark, make_orders):
+    orders = make_orders((1, 2, 3, "2024-01-05"))
+    dated = orders.withColumn("order_date", F.to_date("order_date"))
+    assert same_rows(sources.read_orders(spark, dated), orders)
+
+
 @pytest.mark.parametrize(
     "column, kind", [("order_amount", "double"), ("order_date", "timestamp"), ("order_id", "string")]
 )
