@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import at_midnight, month_index
+from ..functions import at_midnight, minus_months, month_index
 from ..operators import (
     completed,
     high_water_mark,
@@ -29,7 +29,7 @@ def _history(state: DataFrame, since: dt.date, like: DataFrame) -> DataFrame:
     Metrics are needed for a year only. Of older months just each customer's last one
     counts, as a possible previous active month; that part reads the key columns alone.
     """
-    year_before = F.add_months(F.lit(since), -12)
+    year_before = minus_months(F.lit(since), 12)
     recent = state.where(F.col("order_month") >= year_before)
     older = last_month(state.where(F.col("order_month") < year_before))
     # Revenue is stored as a double; as the decimal it came from, differences are exact again.
