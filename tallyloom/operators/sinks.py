@@ -34,6 +34,12 @@ def _arranged(df: DataFrame, target: Target) -> DataFrame:
     return gathered.sortWithinPartitions(part, *rest)
 
 
+def _in_table_order(df: DataFrame, target: Target) -> DataFrame:
+    """Inserts go by position, and an existing table may order its columns otherwise."""
+    columns = df.sparkSession.table(target.location).columns
+    return _arranged(df, target).select(*columns)
+
+
 def append(df: DataFrame, target: Target) -> None:
     """Add the rows. Nothing is compared with the stored rows: a second run doubles them."""
     spark = df.sparkSession
@@ -41,7 +47,7 @@ def append(df: DataFrame, target: Target) -> None:
     if target.is_path:
         writer.partitionBy(target.partition_by).parquet(target.location)
     elif exists(spark, target):
-        writer.insertInto(target.location)
+        _in_table_order(df, target).write.insertInto(target.location)
     else:
         writer.partitionBy(target.partition_by).format("parquet").saveAsTable(target.location)
 
@@ -68,13 +74,13 @@ def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
 
 
 def _replace_partitions(df: DataFrame, target: Target) -> None:
-    writer = _arranged(df, target).write.mode("overwrite")
     if target.is_path:
+        writer = _arranged(df, target).write.mode("overwrite")
         writer = writer.option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(target.partition_by).parquet(target.location)
     else:
         with _dynamic_overwrite(df.sparkSession):
-            writer.insertInto(target.location)
+            _in_table_order(df, target).write.insertInto(target.location, overwrite=True)
 
 
 def _require_unique(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:

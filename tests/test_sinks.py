@@ -107,6 +107,19 @@ def test_materialize_drops_what_was_there(spark, target, frame):
     assert stored(spark, target) == [(3, 3.0, 3, C)]
 
 
+def test_a_table_with_another_column_order(spark, frame):
+    spark.sql("CREATE DATABASE IF NOT EXISTS dev")
+    spark.sql(
+        "CREATE TABLE dev.stats (daily_orders BIGINT, daily_total DOUBLE, customer_id BIGINT, "
+        "date DATE) USING parquet PARTITIONED BY (date)"
+    )
+    target = sources.daily_target("dev.stats")
+    op.append(frame((1, 2.0, 3, A)), target)
+    op.upsert(frame((1, 5.0, 6, A), (7, 8.0, 9, B)), target)
+    assert stored(spark, target) == [(1, 5.0, 6, A), (7, 8.0, 9, B)]
+    spark.sql("DROP TABLE dev.stats")
+
+
 def test_require(spark, frame):
     df = frame((1, 1.0, 1, A), (2, 2.0, 2, A))
     assert same_rows(op.require(df, F.col("daily_orders") > 0, "no orders"), df)
