@@ -25,6 +25,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 SAME_TYPE = {
     "BIGINT": "bigint",
+    "INTEGER": "int",
     "DOUBLE": "double",
     "VARCHAR": "string",
     "DATE": "date",
