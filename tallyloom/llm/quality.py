@@ -221,4 +221,8 @@ def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     p = "__q_"
     measured = measure(docs, text, p)
     model = fit(measured, p)
-    return judged(measured, model, p).where(F.col(f"{p}kept")).select(*docs.columns)
+    # A filter is pushed below selects whose columns are deterministic, and the measures would then be
+    # written into it again and again. A row number that the filter reads stops that.
+    numbered = measured.withColumn(f"{p}row", F.monotonically_increasing_id())
+    stays = F.col(f"{p}kept") & (F.col(f"{p}row") >= 0)
+    return judged(numbered, model, p).where(stays).select(*docs.columns)
