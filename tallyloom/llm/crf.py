@@ -27,6 +27,10 @@ from .html_blocks import Block, leaf_blocks
 from .labelled_pages import labelled_pages
 
 
+#: Elements that say what a part of a page is for.
+LANDMARKS = set("article main nav header aside footer form section head dialog table".split())
+
+
 def path_features(path: tuple) -> list[str]:
     out = {"bias"}
     for depth, (tag, parts) in enumerate(reversed(path)):
@@ -34,6 +38,10 @@ def path_features(path: tuple) -> list[str]:
         if depth == 0:
             out.add(f"parent {tag}")
         out.update(f"named {p}" for p in parts)
+    named = next((parts for _, parts in reversed(path) if parts), ())
+    out.update(f"nearest {p}" for p in named)
+    holder = next((tag for tag, parts in reversed(path) if parts or tag in LANDMARKS), "none")
+    out.add(f"held by {holder}")
     return sorted(out)
 
 

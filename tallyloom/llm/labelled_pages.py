@@ -140,8 +140,8 @@ def labelled_page(rng: random.Random) -> tuple[str, list[int]]:
             article += _around(rng.choice(("ul", "ol")), "", [("<li>", None), (_text(rng), 1)])
         if rng.random() < 0.1:
             article += _around("table", "", [("<tr><td>", None), (_text(rng), 1)])
-        if rng.random() < 0.3:
-            article += _frame(rng, rng.choice(("advert", "sidebar", "notice", "form")))
+        if rng.random() < 0.4:
+            article += _frame(rng, rng.choice(("advert", "advert", "sidebar", "notice", "form")))
     if rng.random() < 0.25:
         article += _frame(rng, rng.choice(("comments", "footer", "menu")))
     kind = rng.random()

@@ -236,10 +236,10 @@ def mix(docs: DataFrame, words_in_task: int = 2_000_000, seed: int = 20240, **op
 
 def taken(docs: DataFrame, **options) -> DataFrame:
     """Per document its size, its source's size and target, and the words that the mix takes."""
-    return plan(docs, **options).select(
-        options.get("id", "doc_id"),
-        "size",
-        "source_size",
-        "target",
-        (F.col("size") * F.col("copies")).alias("taken"),
+    p = "__mix_"
+    id, text, source = (options.get(k, v) for k, v in (("id", "doc_id"), ("text", "text"), ("source", "source")))
+    return plan(docs.select(id, text, source), prefix=p, **options).select(
+        id,
+        *[F.col(f"{p}{c}").alias(c) for c in ("size", "source_size", "target")],
+        (F.col(f"{p}size") * F.col(f"{p}copies")).alias("taken"),
     )

@@ -79,17 +79,22 @@ def _children(level: dict[int, dict[int, float]], at: Column) -> Column:
     return F.element_at(by_parent, at)
 
 
+def _drawn(children: Column, key: Column, level: str) -> Column:
+    """The child whose draw is the least."""
+
+    def draw(c: Column) -> Column:
+        bits = F.shiftrightunsigned(F.xxhash64(key, F.lit(level), c["id"]), 11)
+        u = (bits.cast("double") + 0.5) / float(1 << 53)
+        return F.struct((-F.ln(u) / c["w"]).alias("draw"), c["id"].alias("id"))
+
+    return F.array_min(F.transform(children, draw))["id"]
+
+
 def descend(tree: list[Leaf], key: Column) -> Column:
     """The shard of a key."""
     at: Column = F.lit(0)
     for parent, child in (("root", "region"), ("region", "rack"), ("rack", "shard")):
-
-        def draw(c: Column, child: str = child) -> Column:
-            bits = F.shiftrightunsigned(F.xxhash64(key, F.lit(child), c["id"]), 11)
-            u = (bits.cast("double") + 0.5) / float(1 << 53)
-            return F.struct((-F.ln(u) / c["w"]).alias("draw"), c["id"].alias("id"))
-
-        at = F.array_min(F.transform(_children(_level(tree, parent, child), at), draw))["id"]
+        at = _drawn(_children(_level(tree, parent, child), at), key, child)
     return at
 
 

@@ -5,9 +5,11 @@ A text's fingerprint has 64 bits; two texts are linked when their fingerprints d
 
 * **Shards.** The 64 bits are cut into ``max_bits + 1`` bands. Fingerprints that differ in at most
   ``max_bits`` agree in one band at least, so the fingerprints that share a band's value form a
-  shard, and no link crosses all shards. A shard with more than ``shard_rows`` fingerprints is
+  shard, and every link lies within one. A shard with more than ``shard_rows`` fingerprints is
   cut again in the same way by the bits its members need not share yet (again one of
-  ``max_bits + 1`` parts must agree), until shards are small or no bits are left: nothing is capped.
+  ``max_bits + 1`` parts must agree). What is still large after ``CUTS`` cuts is a crowd of
+  fingerprints that hardly differ: its whole tree goes to several tasks, each of which searches for
+  a portion of its members. Nothing is capped.
 * **BK-trees.** In each shard the fingerprints form a tree whose children are keyed by their
   Hamming distance to the parent. A search for radius r that meets a node at distance d
   follows only the edges d - r to d + r. The trees of a batch of shards are built and searched
@@ -37,6 +39,7 @@ from .shared import kept
 
 BITS = 64
 SEED = 42
+CUTS = 3
 #: Pairs of a search and a tree node that are held at once.
 PAIRS_AT_ONCE = 1 << 20
 
@@ -91,7 +94,10 @@ def _signed(mask: int) -> int:
 
 
 def shards(prints: DataFrame, max_bits: int, shard_rows: int) -> DataFrame:
-    """(mask, value, fingerprint) of every shard that has two fingerprints or more."""
+    """(mask, value, portion, fingerprint, searched) of every shard with two fingerprints or more.
+
+    A portion holds its whole shard; ``searched`` marks the rows that it looks up.
+    """
     all_bits = (1 << BITS) - 1
 
     def cut(rows: DataFrame, masks: dict[int, list[int]]) -> DataFrame:
@@ -106,23 +112,33 @@ def shards(prints: DataFrame, max_bits: int, shard_rows: int) -> DataFrame:
             F.explode(F.element_at(finer, F.col("mask"))).alias("mask"), "fingerprint"
         ).withColumn("value", F.col("fingerprint").bitwiseAND(F.col("mask")))
 
+    key = ["mask", "value"]
     masks = {0: _parts(all_bits, max_bits + 1)}
     rows = cut(prints.select(F.lit(0).cast("long").alias("mask"), "fingerprint"), masks)
     done: DataFrame | None = None
-    while True:
-        counts = rows.groupBy("mask", "value").agg(F.count("*").alias("n")).where("n > 1")
-        counts = kept(counts.withColumn("large", F.col("n") > shard_rows))
-        fitting = rows.join(counts.where(~F.col("large")), ["mask", "value"], "left_semi")
-        done = fitting if done is None else done.unionByName(fitting)
-        fixed = [m for v in masks.values() for m in v]
-        masks = {m: [m | p for p in _parts(all_bits & ~m, max_bits + 1)] for m in fixed}
-        masks = {m: v for m, v in masks.items() if v}
-        large = counts.where("large")
+    for left in range(CUTS - 1, -1, -1):
+        counts = rows.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
+        counts = kept(counts)
+        large = counts.where(F.col("n") > shard_rows)
+        whole = rows.join(counts.where(F.col("n") <= shard_rows), key, "left_semi")
+        whole = whole.select(
+            *key, F.lit(0).cast("long").alias("portion"), "fingerprint", F.lit(1).alias("searched")
+        )
+        done = whole if done is None else done.unionByName(whole)
         if large.isEmpty():
             return done
-        if not masks:  # all bits agree: cannot be, the fingerprints are distinct
-            return done.unionByName(rows.join(large, ["mask", "value"], "left_semi"))
-        rows = cut(rows.join(large, ["mask", "value"], "left_semi"), masks)
+        if left:
+            fixed = [m for v in masks.values() for m in v]
+            masks = {m: [m | x for x in _parts(all_bits & ~m, max_bits + 1)] for m in fixed}
+            rows = cut(rows.join(large, key, "left_semi"), masks)
+    portions = F.ceil(F.col("n") / shard_rows).cast("long")
+    mine = F.pmod(F.xxhash64("fingerprint"), portions) == F.col("portion")
+    crowds = rows.join(large, key).withColumn(
+        "portion", F.explode(F.sequence(F.lit(0).cast("long"), portions - 1))
+    )
+    return done.unionByName(
+        crowds.select(*key, "portion", "fingerprint", mine.cast("int").alias("searched"))
+    )
 
 
 class Forest:
@@ -155,10 +171,12 @@ class Forest:
         self.by_parent = np.argsort(self.parent * (BITS + 1) + self.edge, kind="stable")
         self.keys = (self.parent * (BITS + 1) + self.edge)[self.by_parent]
 
-    def search(self, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs (row, other row of its tree) within the radius, each pair from either side."""
-        whole = np.stack([np.arange(len(self.prints)), self.root])
-        stack = [whole]
+    def search(
+        self, radius: int, rows: np.ndarray | None = None
+    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs (row, other row of its tree) within the radius, for the given rows or for all."""
+        rows = np.arange(len(self.prints)) if rows is None else rows
+        stack = [np.stack([rows, self.root[rows]])]
         while stack:
             pairs = stack.pop()
             if pairs.shape[1] > PAIRS_AT_ONCE:
@@ -188,8 +206,7 @@ def _least(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray
     label = np.arange(n)
     kept_pairs = []
     for a, b in pairs:
-        up = a > b
-        kept_pairs.append(np.stack([a[up], b[up]]))
+        kept_pairs.append(np.stack([a, b]))
     a, b = np.concatenate(kept_pairs, axis=1) if kept_pairs else np.zeros((2, 0), np.int64)
     while True:
         least = np.minimum(label[a], label[b])
@@ -208,23 +225,24 @@ def star_links(shard_rows: DataFrame, max_bits: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def solve(part: np.ndarray) -> pa.RecordBatch:
-            change = np.any(part[:2, 1:] != part[:2, :-1], axis=0)
+            change = np.any(part[:3, 1:] != part[:3, :-1], axis=0)
             group = np.r_[0, np.cumsum(change)]
-            forest = Forest(part[2].view(np.uint64), group)
-            label = _least(part.shape[1], forest.search(max_bits))
+            forest = Forest(part[3].view(np.uint64), group)
+            label = _least(part.shape[1], forest.search(max_bits, np.flatnonzero(part[4])))
             linked = np.flatnonzero(label != np.arange(part.shape[1]))
             return pa.RecordBatch.from_arrays(
-                [pa.array(part[2, linked]), pa.array(part[2, label[linked]])], ["a", "b"]
+                [pa.array(part[3, linked]), pa.array(part[3, label[linked]])], ["a", "b"]
             )
 
-        left = np.zeros((3, 0), np.int64)
+        left = np.zeros((5, 0), np.int64)
         for batch in batches:
-            new = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)])
+            new = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
+            new = np.stack([x.astype(np.int64) for x in new])
             left = np.concatenate([left, new], axis=1)
             if left.shape[1] < 1 << 16:
                 continue
             # the last shard may go on in the next batch
-            same = np.all(left[:2] == left[:2, -1:], axis=0)
+            same = np.all(left[:3] == left[:3, -1:], axis=0)
             whole = left.shape[1] - int(same.sum())
             if whole:
                 yield solve(left[:, :whole])
@@ -233,9 +251,9 @@ def star_links(shard_rows: DataFrame, max_bits: int) -> DataFrame:
             yield solve(left)
 
     return (
-        shard_rows.select("mask", "value", "fingerprint")
-        .repartition("mask", "value")
-        .sortWithinPartitions("mask", "value", "fingerprint")
+        shard_rows.select("mask", "value", "portion", "fingerprint", "searched")
+        .repartition("mask", "value", "portion")
+        .sortWithinPartitions("mask", "value", "portion", "fingerprint")
         .mapInArrow(run, "a long, b long")
     )
 

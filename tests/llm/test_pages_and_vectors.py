@@ -1,0 +1,274 @@
+"""Operators over pages and vectors, and the registered SQL."""
+
+import base64
+import hashlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from conftest import SF_DIR
+from pyspark.sql import functions as F
+
+from tallyloom.checks.compare import connect, differences
+from tallyloom.llm import crf, html_blocks, labelled_pages, queries, topk, warc
+
+
+@pytest.mark.parametrize("name", queries.ORACLE)
+def test_query_equals_sql(name, spark):
+    con = connect(SF_DIR)
+    assert differences(queries.REGISTRY[name](spark, SF_DIR), con, queries.ORACLE[name]) == []
+
+
+@pytest.fixture(scope="module")
+def pages(spark):
+    rows = [
+        (None, None, None),
+        (None, "http://a", "<p>x</p>"),
+        (1, "http://a", "<p>x</p>"),
+        (1, "http://a", "<p>x</p>"),
+        (2, None, ""),
+        (3, "http://b\r\nX: y", None),
+        (4, "http://é", "<article><p>é 漢字 😀</article>"),
+        (5, "", "<p>" + "long é " * 200_000),
+        (6, "http://c", "WARC/1.1\r\n\r\nContent-Length: 7\r\n\r\n"),
+    ]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return df.select("*", *[F.lit(n).alias(n) for n in "row id payload sha256 text n_chars".split()])
+
+
+# --- WARC ------------------------------------------------------------------------------------
+
+
+def want_records(pages, least=0):
+    rows = pages.select("page_id", "html").collect()
+    payload = [(r.page_id, (r.html or "").encode()) for r in rows]
+    last = {}
+    for i, p in payload:
+        if i is not None:
+            last[p] = max(i, last.get(p, i))
+    done, want = set(), []
+    for i, p in payload:
+        first = i == last.get(p) and p not in done
+        if first:
+            done.add(p)
+        response = first or len(p) < least
+        want.append(
+            (
+                i,
+                len(p),
+                base64.b32encode(hashlib.sha1(p).digest()).decode(),
+                "response" if response else "revisit",
+                None if response else last.get(p),
+            )
+        )
+    return Counter(want)
+
+
+@pytest.mark.parametrize("least", [0, 5, 1000])
+def test_archive_of_odd_pages(spark, pages, tmp_path, least):
+    path = f"{tmp_path}/archive"
+    warc.write(pages, path, least=least)
+    found = warc.summary(warc.read(spark, path)).collect()
+    assert Counter(tuple(r) for r in found) == want_records(pages, least)
+    distinct = {(r.html or "") for r in pages.select("html").collect()}
+    assert spark.read.parquet(f"{path}/payloads").count() == len(distinct)
+
+
+def test_records_are_exact_and_files_give_them_back(spark, pages, tmp_path):
+    path = f"{tmp_path}/archive"
+    warc.write(pages, path)
+    records = warc.restored(warc.read(spark, path))
+    headers = {r.row: bytes(r.header) for r in spark.read.parquet(f"{path}/headers").collect()}
+    for r in records.collect():
+        said = warc.fields(bytes(r.record))
+        body = bytes(r.payload) if said["WARC-Type"] == "response" else b""
+        assert bytes(r.record) == headers[r.row] + body + b"\r\n\r\n"
+        assert int(said["Content-Length"]) == len(body)
+        assert said.get("WARC-Target-URI") != "http://b"
+    ids = [warc.fields(h)["WARC-Record-ID"] for h in headers.values()]
+    assert len(set(ids)) == len(ids) == pages.count()
+    warc.write_files(records, f"{tmp_path}/files", in_file=2)
+    back = warc.read_files(spark, f"{tmp_path}/files")
+    assert Counter(bytes(r.record) for r in back.collect()) == Counter(
+        bytes(r.record) for r in records.collect()
+    )
+
+
+def test_a_changed_payload_is_found(spark, pages, tmp_path):
+    path = f"{tmp_path}/archive"
+    warc.write(pages.where("page_id = 4"), path)
+    r = warc.read(spark, path).first()
+    member = warc.gzip.compress(b"something else")
+    with pytest.raises(ValueError, match="digest"):
+        warc.unpack(member, bytes(r.sha256))
+
+
+def test_empty_archive(spark, pages, tmp_path):
+    path = f"{tmp_path}/archive"
+    warc.write(pages.where("false"), path)
+    assert warc.summary(warc.read(spark, path)).collect() == []
+
+
+# --- HTML ------------------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def model():
+    return crf.trained()
+
+
+def test_held_out_blocks(model):
+    right = total = 0
+    for page, labels in labelled_pages.labelled_pages(300, seed=4321):
+        found = model.decode(html_blocks.leaf_blocks(page))
+        right += sum(a == b for a, b in zip(found, labels, strict=True))
+        total += len(labels)
+    assert right / total > 0.98
+
+
+def test_viterbi_finds_the_best_path(model):
+    page, _ = labelled_pages.labelled_pages(1, seed=8)[0]
+    blocks = html_blocks.leaf_blocks(page)[:9]
+    scores = [model._score(b) for b in blocks]
+
+    def total(labels):
+        s = model.start[labels[0]] + sum(x for x, y in zip(scores, labels) if y)
+        return s + sum(model.move[a][b] for a, b in zip(labels, labels[1:]))
+
+    every = np.array(np.meshgrid(*[[0, 1]] * len(blocks))).T.reshape(-1, len(blocks)).tolist()
+    assert total(model.decode(blocks)) == pytest.approx(max(map(total, every)))
+
+
+FRAME = (
+    "<!DOCTYPE html><html><head><title>T</title><script>var a='<p>no</p>'</script></head><body>"
+    "<header><p>Site</p></header><nav><ul><li><a href=x>Menu</a></li></ul></nav>"
+    '<div class="cookie-notice">We use cookies.</div><div class="ad">Buy this now, it is good.</div>'
+    "%s<aside><p>Related text here.</p></aside><form><label>Name</label><input></form>"
+    '<section class="comments"><p>I do not agree with this at all.</p></section>'
+    "<footer>&copy; me</footer>"
+)
+
+
+@pytest.mark.parametrize(
+    "article",
+    ["<article>%s</article>", "<main>%s</main>", '<div class="post-content">%s</div>'],
+)
+def test_main_text(model, article):
+    body = (
+        "<h1>A  title</h1><p>First &amp; <b>bold</b>er\n\tpart, with &eacute;. <br>Next"
+        "<p>Unclosed &lt;p&gt;<!-- not this --><style>p{}</style><ul><li>one<li>two</ul>"
+        '<div class="advert">Advert inside.</div><p>Last part of it.</p>'
+    )
+    want = "A title First & bolder part, with é. Next Unclosed <p> one two Last part of it."
+    assert model.main_text(FRAME % (article % body)) == want
+
+
+def test_article_text_of_every_page(spark, model):
+    """The test pages mark their text up as an article."""
+    found = crf.extract(spark.read.parquet(f"{SF_DIR}/pages.parquet"), model)
+    html = {r.page_id: r.html for r in spark.read.parquet(f"{SF_DIR}/pages.parquet").collect()}
+    for r in found.collect():
+        inside = html[r.page_id].split("<article>")[1].split("</article>")[0]
+        blocks = html_blocks.leaf_blocks(inside)
+        assert r.text == " ".join(b.text for b in blocks) and r.n_chars == len(r.text)
+
+
+def test_odd_pages(pages, model):
+    found = {r.page_id: r for r in crf.extract(pages, model).where("page_id > 1").collect()}
+    assert (found[2].text, found[2].n_chars, found[3].text) == ("", 0, "")
+    assert found[4].text == "é 漢字 😀"
+    assert crf.extract(pages, model).count() == pages.count()
+    assert crf.extract(pages.where("false"), model).collect() == []
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<", "<p", "<p a='", "<!--", "<script>", "</p></p>", "<a href=\"x' >t", "a < b > c", "<p>&#0;&bogus;"],
+)
+def test_broken_markup_does_not_fail(model, page):
+    model.main_text(page * 300)
+
+
+# --- top-k -----------------------------------------------------------------------------------
+
+
+def brute_top(rows, k=5, every=50):
+    usable = [
+        (i, n, [int(np.floor(256 * float(np.float32(x)))) for x in v])
+        for n, (i, v) in enumerate(rows)
+        if v is not None and all(x is not None and np.isfinite(x) for x in v)
+    ]
+    out = []
+    for i, n, q in usable:
+        if i is not None and i % every == 0:
+            scored = [
+                (-sum(a * b for a, b in zip(q, c)), j is None, j or 0, m, j)
+                for j, m, c in usable
+                if m != n
+            ]
+            out += [(i, r + 1, s[-1], -s[0]) for r, s in enumerate(sorted(scored)[:k])]
+    return Counter(out)
+
+
+def vectors(spark, rows):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    return df.select("*", F.lit(1).alias("row"), F.lit(2).alias("block"), F.lit(3).alias("score"))
+
+
+@pytest.mark.parametrize("block_rows", [7, 100, 5000])
+def test_top_k_with_ties(spark, block_rows):
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in rng.integers(-2, 3, 6) / 4]) for i in range(300)]
+    rows += [(300 + i, rows[i % 3][1]) for i in range(60)]
+    found = topk.top_k(vectors(spark, rows), block_rows=block_rows, query_rows=3)
+    assert Counter(tuple(r) for r in found.collect()) == brute_top(rows)
+
+
+def test_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (0, [1.0, 2.0]), (50, None), (100, [1.0, None]), (150, [nan, 1.0]), (200, [inf, 0.0]),
+        (250, []), (300, [0.0, 0.0]), (1, [5.0]), (None, [9.0, 9.0]), (0, [1.0, 2.0]), (2, [1.0, 2.0, 3.0]),
+    ]
+    found = topk.top_k(vectors(spark, rows), block_rows=2)
+    assert Counter(tuple(r) for r in found.collect()) == brute_top(rows)
+    assert topk.top_k(vectors(spark, rows[:1])).collect() == []
+    assert topk.top_k(vectors(spark, rows).where("false")).collect() == []
+
+
+@pytest.mark.parametrize("scale", [1, 10**5, 10**12])
+def test_sums_are_exact(scale):
+    rng = np.random.default_rng(3)
+    a = rng.integers(-scale, scale + 1, (50, 8))
+    kind = topk.exact_type(a, a)
+    lists = topk.SortedLists(a.astype(kind) if kind is object else a, kind)
+    ids = np.arange(50)
+    for i in range(5):
+        at, scores = lists.best(a[i].astype(kind), 3, i, ids)
+        exact = sorted(
+            ((-sum(int(x) * int(y) for x, y in zip(a[i], a[j])), j) for j in range(50) if j != i)
+        )[:3]
+        assert [(-int(s), int(j)) for s, j in zip(scores, at)] == exact
+
+
+def test_the_threshold_stops_early():
+    rows = np.zeros((4000, 4), np.int64)
+    rows[:, 0] = np.arange(4000)
+    rows[:, 1] = np.arange(4000)
+    lists = topk.SortedLists(rows, np.float64)
+    read = []
+    lists.places = Noted(lists.places, read)
+    at, _ = lists.best(np.array([1.0, 1.0, 0.0, 0.0]), 5, -1, np.arange(4000))
+    assert at.tolist() == [3999, 3998, 3997, 3996, 3995] and sum(read) < 100
+
+
+class Noted:
+    """Sorted lists that note how many entries are read."""
+
+    def __init__(self, places, read):
+        self.places, self.read = places, read
+
+    def __getitem__(self, key):
+        found = self.places[key]
+        self.read.append(found.size)
+        return found
