@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from ..functions import kpi
 from .bindings import BACKFILL_END, BACKFILL_START, ORDERS_SQL, RUN_DATE, SALES_SQL, SPLIT
 
 ORDERS = ORDERS_SQL.format(orders="orders")
@@ -42,20 +41,19 @@ REVENUE = "CAST(revenue AS DOUBLE) AS monthly_revenue"
 MONTH_COLUMNS = f"{KEY}, monthly_orders, {REVENUE}, avg_order_value"
 
 
-def label(column: str, lower_bounds: tuple[tuple[int, str], ...], rest: str) -> str:
-    branches = " ".join(f"WHEN {column} >= {bound} THEN '{name}'" for bound, name in lower_bounds)
-    return f"CASE {branches} ELSE '{rest}' END"
+# Fixed values, written out here and not taken from the code under test.
+SEGMENTS = """
+    CASE WHEN revenue >= 10000 THEN 'VIP' WHEN revenue >= 5000 THEN 'Premium'
+         WHEN revenue >= 1000 THEN 'Regular' ELSE 'Basic' END AS revenue_segment,
+    CASE WHEN monthly_orders >= 20 THEN 'Frequent' WHEN monthly_orders >= 10 THEN 'Active'
+         WHEN monthly_orders >= 1 THEN 'Occasional' ELSE 'Inactive' END AS frequency_segment,
+    CASE WHEN avg_order_value >= 500 THEN 'High AOV' WHEN avg_order_value >= 200 THEN 'Medium AOV'
+         ELSE 'Low AOV' END AS aov_segment"""
 
-
-SEGMENTS = f"""
-    {label('revenue', kpi.REVENUE_SEGMENTS, kpi.REVENUE_REST)} AS revenue_segment,
-    {label('monthly_orders', kpi.FREQUENCY_SEGMENTS, kpi.FREQUENCY_REST)} AS frequency_segment,
-    {label('avg_order_value', kpi.AOV_SEGMENTS, kpi.AOV_REST)} AS aov_segment"""
-
-RETENTION = f"""
-    CASE WHEN p_month IS NULL THEN '{kpi.NEW}'
-         WHEN MONTH(order_month) - MONTH(p_month) = 1 THEN '{kpi.RETAINED}'
-         ELSE '{kpi.REACTIVATED}' END AS retention_status"""
+RETENTION = """
+    CASE WHEN p_month IS NULL THEN 'New'
+         WHEN MONTH(order_month) - MONTH(p_month) = 1 THEN 'Retained'
+         ELSE 'Reactivated' END AS retention_status"""
 
 GROWTHS = f"""
     {growth('monthly_orders', 'p_orders')} AS orders_mom_growth_pct,
@@ -147,7 +145,7 @@ ORACLE: dict[str, str] = {
     "scan_sales": f"{WITH_SALES} SELECT {SALES_COLUMNS} FROM sal",
     "scan_orders": f"{WITH_ORDERS} SELECT {ORDER_COLUMNS} FROM ord",
     "namespaced_table": f"{WITH_SALES} SELECT {SALES_COLUMNS} FROM sal",
-    "read_target_state": f"{WITH_STORED_KPI} {KPI_CALENDAR}",
+    "read_target_state": f"{WITH_CALENDAR} {KPI_CALENDAR}",
     "stage_roundtrip": f"{WITH_SALES} SELECT {SALES_COLUMNS} FROM {DONE}",
     "append_sink": f"""{WITH_DAYS}, once AS ({stats('done', ', date')})
         SELECT {DAILY} FROM once UNION ALL SELECT {DAILY} FROM once""",
@@ -198,9 +196,10 @@ ORACLE: dict[str, str] = {
     "count_distinct_orders": f"{WITH_MONTHS} SELECT {KEY}, monthly_orders FROM mon",
     "sum_revenue": f"{WITH_MONTHS} SELECT {KEY}, {REVENUE} FROM mon",
     "avg_order_value": f"{WITH_MONTHS} SELECT {KEY}, avg_order_value FROM mon",
-    "global_max_month": f"{WITH_STATE_AND_BATCH} SELECT MAX(order_month) AS order_month FROM state",
-    "customer_last_month": f"""{WITH_STATE_AND_BATCH}
-        SELECT customer_id, MAX(order_month) AS order_month FROM state GROUP BY ALL""",
+    "global_max_month": f"""WITH ord AS ({ORDERS}), months AS ({months_of('ord')})
+        SELECT MAX(order_month) AS order_month FROM months""",
+    "customer_last_month": f"""WITH ord AS ({ORDERS}), months AS ({months_of('ord')})
+        SELECT customer_id, MAX(order_month) AS order_month FROM months GROUP BY ALL""",
     "row_count_metrics": f"""{WITH_SALES}
         SELECT 'extracted' AS step, COUNT(*) AS row_count FROM {DONE} UNION ALL
         SELECT 'transformed', COUNT(DISTINCT customer_id) FROM {DONE}""",

@@ -19,6 +19,7 @@ from ..plans import (
     run_daily,
     run_daily_backfill,
 )
+from ..plans import customer_kpi_incremental as refreshed_kpi
 from ..plans.daily import LAYOUT_AS_IS, LAYOUT_DEDUPED, ONE_DAY
 from .bindings import BACKFILL_END, BACKFILL_START, RUN_DATE, SPLIT, orders, sales
 
@@ -63,6 +64,13 @@ def _stored_kpi(spark, d) -> src.Target:
     return target
 
 
+def _whole_kpi(spark, d) -> src.Target:
+    """A KPI table built from all orders."""
+    target = src.kpi_target(src.scratch_dir(spark))
+    run_customer_kpi(spark, orders(spark, d), target)
+    return target
+
+
 def _state_and_batch(spark, d):
     state = src.read_state(spark, _stored_kpi(spark, d))
     fresh = op.since_high_water_mark(orders(spark, d), state)
@@ -96,7 +104,7 @@ def namespaced_table(spark, d):
 
 @query
 def read_target_state(spark, d):
-    return src.read_state(spark, _stored_kpi(spark, d))
+    return src.read_state(spark, _whole_kpi(spark, d))
 
 
 @query
@@ -136,9 +144,9 @@ def materialize_full(spark, d):
 def materialize_incremental(spark, d):
     target = _stored_kpi(spark, d)
     since = op.high_water_mark(src.read_state(spark, target))
-    kpi = customer_kpi(orders(spark, d), "calendar")
+    fresh = refreshed_kpi(orders(spark, d), src.read_state(spark, target))
     recent = F.col("order_month") >= F.lit(since)
-    op.upsert(kpi.where(recent), target, touching=recent, unique=True)
+    op.upsert(fresh, target, touching=recent, unique=True)
     return src.read_state(spark, target)
 
 
@@ -327,12 +335,12 @@ def avg_order_value(spark, d):
 
 @query
 def global_max_month(spark, d):
-    return op.max_month(src.read_state(spark, _stored_kpi(spark, d)))
+    return op.max_month(src.read_state(spark, _whole_kpi(spark, d)))
 
 
 @query
 def customer_last_month(spark, d):
-    return op.last_month(src.read_state(spark, _stored_kpi(spark, d)))
+    return op.last_month(src.read_state(spark, _whole_kpi(spark, d)))
 
 
 @query

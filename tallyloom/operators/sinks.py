@@ -14,7 +14,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..sources.readers import scratch_dir, stage
+from ..sources.readers import remove, scratch_dir, stage
 from ..sources.targets import Target, exists, find_state
 from .filters import require
 
@@ -52,15 +52,6 @@ def append(df: DataFrame, target: Target) -> None:
         writer.partitionBy(target.partition_by).format("parquet").saveAsTable(target.location)
 
 
-def materialize(df: DataFrame, target: Target) -> None:
-    """Replace the whole target, also partitions that the new rows do not touch."""
-    writer = _arranged(df, target).write.mode("overwrite").partitionBy(target.partition_by)
-    if target.is_path:
-        writer.option("partitionOverwriteMode", "static").parquet(target.location)
-    else:
-        writer.format("parquet").saveAsTable(target.location)
-
-
 @contextmanager
 def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
     """For catalog tables Spark takes the mode from the session, not from the writer."""
@@ -83,6 +74,45 @@ def _replace_partitions(df: DataFrame, target: Target) -> None:
             _in_table_order(df, target).write.insertInto(target.location, overwrite=True)
 
 
+def _parts(df: DataFrame, target: Target) -> set:
+    """Values of the partition column; as many as dates or months."""
+    return {r[0] for r in df.select(target.partition_by).distinct().collect()}
+
+
+def _drop_partition(spark: SparkSession, target: Target, value: object) -> None:
+    name = target.partition_by
+    if target.is_path:
+        folder = "__HIVE_DEFAULT_PARTITION__" if value is None else value
+        remove(spark, f"{target.location.rstrip('/')}/{name}={folder}")
+    else:
+        given = "null" if value is None else f"DATE '{value}'"
+        spark.sql(f"ALTER TABLE {target.location} DROP IF EXISTS PARTITION ({name} = {given})")
+
+
+def materialize(df: DataFrame, target: Target) -> None:
+    """Replace the whole target, also partitions that the new rows do not touch.
+
+    The rows are computed into a folder of their own first, then published over the stored
+    partitions, and last the partitions that have no new rows go. A job that fails while
+    computing or publishing leaves the stored rows as they were.
+    """
+    spark = df.sparkSession
+    stored = find_state(spark, target)
+    if stored is None:
+        append(df, target)
+        return
+    path = scratch_dir(spark)
+    try:
+        rows = stage(df.select(*target.columns), path)
+        old, new = _parts(stored, target), _parts(rows, target)
+        if new:
+            _replace_partitions(rows, target)
+        for value in old - new:
+            _drop_partition(spark, target, value)
+    finally:
+        remove(spark, path)
+
+
 def _require_unique(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     rows = Window.partitionBy(*keys).orderBy(*keys)
     numbered = df.withColumn("_n", F.row_number().over(rows))
@@ -138,9 +168,15 @@ def upsert(
     if stored is None:
         append(batch, target)
         return
-    if touching is None:
-        batch = stage(batch, scratch_dir(df.sparkSession))
-        touching = _touched(batch, target)
-    # A row outside would replace a partition whose stored rows were not read.
-    batch = require(batch, touching, "a row lies outside the partitions named as touched")
-    _replace_partitions(merge(stored.where(touching), batch, target), target)
+    staged = None
+    try:
+        if touching is None:
+            staged = scratch_dir(df.sparkSession)
+            batch = stage(batch, staged)
+            touching = _touched(batch, target)
+        # A row outside would replace a partition whose stored rows were not read.
+        batch = require(batch, touching, "a row lies outside the partitions named as touched")
+        _replace_partitions(merge(stored.where(touching), batch, target), target)
+    finally:
+        if staged is not None:
+            remove(df.sparkSession, staged)

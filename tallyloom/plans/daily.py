@@ -7,13 +7,11 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import at_midnight, to_day
+from ..functions import to_day
 from ..operators import (
     append,
     completed,
@@ -96,16 +94,22 @@ def run_daily(
 ) -> DailyRun | None:
     """Compute one run date and write it. None when there was nothing to write.
 
-    ``count_rows`` observes the rows that go into the totals and the totals written, within
-    the same job. It interrupts generated code, so it is off unless asked for.
+    ``count_rows`` observes the rows extracted and the totals written, within the same job:
+    with repeats dropped the finished rows that go into the totals, else all rows of the day,
+    whatever their status. It interrupts generated code, so it is off unless asked for.
     """
     if write not in ("append", "upsert"):
         raise ValueError(f"write must be 'append' or 'upsert', not {write!r}")
     sales = read_sales(spark, src)
-    if guard_nonempty(_rows_of_run_date(sales, run_date, False), on_empty) is None:
+    # Sales without a customer are in no total, so a day of such sales has nothing to write.
+    counted = _rows_of_run_date(sales, run_date, False).where(F.col("customer_id").isNotNull())
+    if guard_nonempty(counted, on_empty) is None:
         return None
-    rows = _rows_of_run_date(sales, run_date, drop_repeats)
-    if count_rows:
+    day = in_range(sales, "created_at", run_date - ONE_DAY, run_date)
+    if count_rows and not drop_repeats:
+        day, extracted = with_row_metrics(day, f"extracted {run_date}")
+    rows = _finished(day, drop_repeats)
+    if count_rows and drop_repeats:
         rows, extracted = with_row_metrics(rows, f"extracted {run_date}")
     stats = _of_run_date(rows, run_date, drop_repeats)
     if count_rows:
@@ -129,18 +133,17 @@ def missed_run_dates(
     return [d for d in dates if d not in done]
 
 
-def _day_ranges(run_dates: list[dt.date]) -> Column:
-    """Sales of the run dates, neighbouring days joined into one range."""
-    ranges: list[list[dt.date]] = []
-    for d in run_dates:
-        if ranges and ranges[-1][1] == d - ONE_DAY:
-            ranges[-1][1] = d
-        else:
-            ranges.append([d - ONE_DAY, d])
-    ts = F.col("created_at")
-    return reduce(
-        or_, [(ts >= at_midnight(lo)) & (ts < at_midnight(hi)) for lo, hi in ranges]
-    )
+def _among(column: str, days: list[dt.date]) -> Column:
+    """Membership in a set of days, as one expression however many there are."""
+    return F.expr(f"{column} IN ({', '.join(f"DATE '{d}'" for d in days)})")
+
+
+def _sales_of(sales: DataFrame, run_dates: list[dt.date]) -> DataFrame:
+    """Sales of the run dates: a range for the scan, and within it only the days asked for."""
+    rows = in_range(sales, "created_at", run_dates[0] - ONE_DAY, run_dates[-1])
+    if (run_dates[-1] - run_dates[0]).days + 1 == len(run_dates):
+        return rows
+    return rows.where(_among("CAST(created_at AS DATE)", [d - ONE_DAY for d in run_dates]))
 
 
 def run_daily_backfill(
@@ -158,8 +161,8 @@ def run_daily_backfill(
         dates = missed_run_dates(spark, target, start, end)
         if not dates:
             return
-        stats = daily_table(sales.where(_day_ranges(dates)), drop_repeats)
-        touching = F.col("date").isin(dates)
+        stats = daily_table(_sales_of(sales, dates), drop_repeats)
+        touching = _among("date", dates)
     else:
         stats = daily_backfill(sales, start, end, drop_repeats)
         touching = F.col("date").between(start, end)

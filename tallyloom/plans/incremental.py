@@ -17,7 +17,7 @@ from ..operators import (
     previous_calendar,
     upsert,
 )
-from ..sources import Target, find_state, read_orders
+from ..sources import Target, find_state, read_orders, require_same_table
 from .monthly import customer_kpi, kpi_columns
 
 METRICS = ("monthly_orders", "monthly_revenue", "avg_order_value")
@@ -96,9 +96,15 @@ def run_customer_kpi(
 ) -> dt.date | None:
     """Build the target on the first run, refresh it afterwards.
 
-    Returns the first month computed anew, None for a full build.
+    A target with the active lookback is built in full each time: its values depend on all
+    earlier months. A stored table with the other lookback is refused. Returns the first
+    month computed anew, None for a full build.
     """
     orders = read_orders(spark, src)
+    require_same_table(spark, target)
+    if target.lookback == "active":
+        materialize(customer_kpi(orders, "active", unique_order_id), target)
+        return None
     state = find_state(spark, target)
     since = None if state is None else high_water_mark(state, lookback_months)
     if since is None:

@@ -9,7 +9,15 @@ from .readers import (
     stage,
     table_name,
 )
-from .targets import Target, daily_target, exists, find_state, kpi_target, read_state
+from .targets import (
+    Target,
+    daily_target,
+    exists,
+    find_state,
+    kpi_target,
+    read_state,
+    require_same_table,
+)
 
 __all__ = [
     "SchemaMismatch",
@@ -24,6 +32,7 @@ __all__ = [
     "read_orders",
     "read_sales",
     "read_state",
+    "require_same_table",
     "scratch_dir",
     "stage",
     "table_name",

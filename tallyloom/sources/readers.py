@@ -50,8 +50,10 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*columns)
 
 
-def table_name(schema: str, table: str) -> str:
-    """``schema.table``, quoted. Only plain identifiers are accepted."""
+def table_name(schema: str, table: str | None = None) -> str:
+    """``schema.table``, quoted; a table alone is one of ``public``. Only plain identifiers."""
+    if table is None:
+        schema, table = "public", schema
     for part in (schema, table):
         if not _IDENTIFIER.fullmatch(part):
             raise ValueError(f"not a plain identifier: {part!r}")
@@ -111,14 +113,23 @@ def scratch_dir(spark: SparkSession) -> str:
 
     Only a local session may do without the setting.
     """
+    master = spark.sparkContext.master
+    on_one_machine = master == "local" or master.startswith("local[")
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not on_one_machine:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="tallyloom-")
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever storage holds it."""
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def stage(df: DataFrame, path: str) -> DataFrame:
     """Write a step's output and continue from the files, with its types kept.
 

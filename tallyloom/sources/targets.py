@@ -17,6 +17,7 @@ class Target:
     """A Parquet table, in the catalog or at a path (a location with a slash).
 
     ``null_keys`` states that key columns may be null, and that nulls are equal to each other.
+    ``lookback`` says what the earlier values of a KPI table mean.
     """
 
     location: str
@@ -24,6 +25,7 @@ class Target:
     keys: tuple[str, ...]
     partition_by: str
     null_keys: bool = False
+    lookback: str | None = None
 
     @property
     def is_path(self) -> bool:
@@ -44,9 +46,9 @@ def daily_target(location: str) -> Target:
 
 
 def kpi_target(location: str, lookback: str = "calendar") -> Target:
-    schema = schemas.KPI_CALENDAR if lookback == "calendar" else schemas.KPI_ACTIVE
+    schema = {"calendar": schemas.KPI_CALENDAR, "active": schemas.KPI_ACTIVE}[lookback]
     keys = ("customer_id", "order_month")
-    return Target(location, schema, keys, partition_by="order_month", null_keys=True)
+    return Target(location, schema, keys, "order_month", null_keys=True, lookback=lookback)
 
 
 def find_state(spark: SparkSession, target: Target) -> DataFrame | None:
@@ -68,6 +70,25 @@ def find_state(spark: SparkSession, target: Target) -> DataFrame | None:
     return df.select(*target.columns)
 
 
+def stored_columns_of(spark: SparkSession, target: Target) -> set[str] | None:
+    """Columns of what is stored; None where there is nothing."""
+    if not target.is_path:
+        there = spark.catalog.tableExists(target.location)
+        return set(spark.table(target.location).columns) if there else None
+    try:
+        return set(spark.read.parquet(target.location).columns)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def require_same_table(spark: SparkSession, target: Target) -> None:
+    """Fail if what is stored has other columns than the target, such as another lookback."""
+    if stored_columns_of(spark, target) not in (None, set(target.columns)):
+        raise ValueError(f"{target.location} holds a table with other columns")
+
+
 def exists(spark: SparkSession, target: Target) -> bool:
     return find_state(spark, target) is not None
 

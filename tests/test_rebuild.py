@@ -1,0 +1,146 @@
+"""Failed rebuilds, targets of either lookback, truthful reports, and backfills with many gaps."""
+
+import datetime as dt
+
+import pytest
+from conftest import rows, same_rows
+from pyspark.sql import functions as F
+
+from tallyloom import operators as op
+from tallyloom import plans, sources
+
+DAY = dt.timedelta(days=1)
+
+
+@pytest.fixture(params=["path", "catalog"])
+def location(request, spark, new_path):
+    if request.param == "path":
+        yield new_path
+        return
+    yield "rebuilt_kpi"
+    spark.sql("DROP TABLE IF EXISTS rebuilt_kpi")
+
+
+def some_orders(make_orders):
+    return make_orders(
+        (1, 1, 100, "2024-01-05"), (1, 2, 50, "2024-03-05"), (2, 3, 70, "2024-02-01")
+    )
+
+
+def failing(df, early):
+    boom = F.raise_error(F.lit("boom")).cast("long")
+    if early:
+        return df.withColumn("monthly_orders", F.when(F.col("customer_id") == 1, boom).otherwise(0))
+    shuffled = df.repartition(3, "customer_id")
+    return shuffled.withColumn("monthly_orders", F.when(F.col("customer_id") == 2, boom).otherwise(0))
+
+
+@pytest.mark.parametrize("early", [True, False])
+def test_a_failed_rebuild_changes_nothing(spark, make_orders, location, early):
+    target = sources.kpi_target(location, lookback="active")
+    kpi = plans.customer_kpi(some_orders(make_orders))
+    op.materialize(kpi, target)
+    with pytest.raises(Exception, match="boom"):
+        op.materialize(failing(kpi, early), target)
+    assert same_rows(sources.read_state(spark, target), kpi)
+
+
+def test_a_rebuild_drops_partitions_without_new_rows(spark, make_orders, location):
+    target = sources.kpi_target(location, lookback="active")
+    kpi = plans.customer_kpi(some_orders(make_orders))
+    nameless = kpi.where("customer_id = 2").withColumn("order_month", F.lit(None).cast("date"))
+    op.materialize(kpi.unionByName(nameless), target)
+    less = kpi.where("customer_id = 1")
+    op.materialize(less, target)
+    assert same_rows(sources.read_state(spark, target), less)
+    op.materialize(kpi.where("false"), target)
+    assert sources.read_state(spark, target).isEmpty()
+
+
+def test_the_target_decides_the_lookback(spark, make_orders, location):
+    orders = some_orders(make_orders)
+    target = sources.kpi_target(location, lookback="active")
+    for _ in range(2):
+        assert plans.run_customer_kpi(spark, orders, target) is None
+        assert same_rows(sources.read_state(spark, target), plans.customer_kpi(orders, "active"))
+    march = sources.read_state(spark, target).where("customer_id = 1 AND month(order_month) = 3")
+    assert rows(march, "prev_month_orders") == [(1,)]
+    with pytest.raises(ValueError, match="other columns"):
+        plans.run_customer_kpi(spark, orders, sources.kpi_target(location))
+
+
+def test_another_lookback_is_refused():
+    with pytest.raises(KeyError):
+        sources.kpi_target("t", lookback="yearly")
+
+
+@pytest.mark.parametrize("count_rows", [True, False])
+@pytest.mark.parametrize("write", ["append", "upsert"])
+@pytest.mark.parametrize("later", [True, False])
+def test_a_day_without_customers_is_empty(spark, make_sales, new_path, write, count_rows, later):
+    target = sources.daily_target(new_path)
+    sales = make_sales(
+        (1, 7, 1, 10, "completed", "2024-01-01T10:00"),
+        (2, None, 1, 10, "completed", "2024-01-05T10:00"),
+    )
+    if later:
+        assert plans.run_daily(spark, sales, target, dt.date(2024, 1, 2), write=write)
+    run = lambda **k: plans.run_daily(
+        spark, sales, target, dt.date(2024, 1, 6), write=write, count_rows=count_rows, **k
+    )
+    assert run() is None
+    with pytest.raises(op.EmptyInput):
+        run(on_empty="raise")
+    assert sources.exists(spark, target) == later
+
+
+def test_rows_extracted_are_counted_before_the_status_filter(spark, make_sales, new_path):
+    sales = make_sales(
+        (1, 7, 1, 10, "completed", "2024-01-01T10:00"), (2, 7, 1, 10, "open", "2024-01-01T11:00")
+    )
+    target = sources.daily_target(new_path)
+    run = lambda repeats: plans.run_daily(
+        spark, sales, target, dt.date(2024, 1, 2), drop_repeats=repeats, count_rows=True
+    )
+    assert (run(False).extracted, run(False).written) == (2, 1)
+    assert (run(True).extracted, run(True).written) == (1, 1)
+
+
+def test_a_backfill_with_thousands_of_gaps(spark, make_sales, new_path):
+    first = dt.date(2008, 1, 2)
+    dates = [first + i * DAY for i in range(6000)]
+    day = F.expr("timestamp_ntz'2008-01-01 12:00:00' + make_dt_interval(cast(id AS int))")
+    sales = spark.range(6000).select(
+        F.col("id").alias("order_id"),
+        F.lit(1).cast("long").alias("customer_id"),
+        F.lit(1).cast("long").alias("product_id"),
+        F.lit("5").cast("decimal(18,2)").alias("amount"),
+        F.lit("completed").alias("status"),
+        day.alias("created_at"),
+    )
+    wanted = dates[::2]
+    chosen = plans.daily._sales_of(sales, wanted)
+    found = plans.daily_table(chosen).select("date").distinct().collect()
+    assert {r.date for r in found} == set(wanted)
+    target = sources.daily_target(new_path)
+    few = sales.where("id < 40 AND id % 2 = 0")
+    plans.run_daily_backfill(spark, few, target, dates[0], dates[39])
+    plans.run_daily_backfill(spark, sales, target, dates[0], dates[39], only_missed=True)
+    stored = sources.read_state(spark, target)
+    assert {r.date for r in stored.collect()} == set(dates[:40])
+
+
+def test_the_default_namespace():
+    assert sources.table_name("sales") == "`public`.`sales`"
+
+
+def test_a_staged_batch_is_removed(spark, make_sales, new_path, monkeypatch):
+    paths = []
+    monkeypatch.setattr(
+        "tallyloom.operators.sinks.scratch_dir", lambda s: paths.append(f"{new_path}-staged") or paths[-1]
+    )
+    target = sources.daily_target(new_path)
+    stats = plans.daily_table(make_sales((1, 7, 1, 10, "completed", "2024-01-01T10:00")))
+    op.append(stats, target)
+    op.upsert(stats, target)
+    assert paths and not __import__("os").path.exists(paths[0])
