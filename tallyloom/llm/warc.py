@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .shared import kept
+
 END = b"\r\n\r\n"
 DATE = "1970-01-01T00:00:00Z"
 #: An empty gzip member. It follows each record in a file: Spark's text writer needs a separator.
@@ -51,23 +53,19 @@ def _pages(pages: DataFrame, id: str, url: str, payload: str) -> DataFrame:
 def _packed(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            payloads = [x.as_py() for x in b.column(2)]
+            payloads = [x.as_py() for x in b.column(0)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    b.column(0),
-                    b.column(1),
                     pa.array([hashlib.sha256(x).digest() for x in payloads], pa.binary()),
                     pa.array(map(sha1_base32, payloads), pa.string()),
                     pa.array(map(len, payloads), pa.int64()),
                     pa.array([gzip.compress(x, LEVEL, mtime=0) for x in payloads], pa.binary()),
                 ],
-                ["row", "id", "sha256", "sha1", "n_bytes", "member"],
+                ["sha256", "sha1", "n_bytes", "member"],
             )
 
-    id_type = rows.schema["id"].dataType.simpleString()
-    return rows.select("row", "id", "payload").mapInArrow(
-        run,
-        f"row long, id {id_type}, sha256 binary, sha1 string, n_bytes long, member binary",
+    return rows.select("payload").mapInArrow(
+        run, "sha256 binary, sha1 string, n_bytes long, member binary"
     )
 
 
@@ -110,21 +108,25 @@ def write(
     payload: str = "html",
     least: int = 0,
 ) -> None:
-    """Archive a record for each row of ``pages``, which are read in the same order twice."""
+    """Archive a record for each row of ``pages``.
+
+    The rows are numbered once, in a checkpoint of their keys; payloads are read apart from it and
+    known by their digest alone, so the order in which a second read gives them does not matter.
+    """
     rows = _pages(pages, id, url, payload)
+    keys = kept(rows.select("row", "id", "url", F.unhex(F.sha2("payload", 256)).alias("sha256")))
     disagree = F.raise_error(F.lit("different payloads of one digest")).cast("binary")
     same = (F.min("n_bytes") == F.max("n_bytes")) & (F.min("sha1") == F.max("sha1"))
     _packed(rows).groupBy("sha256").agg(
-        F.max(F.struct("id", "row")).alias("kept"),
         F.max("n_bytes").alias("n_bytes"),
         F.max("sha1").alias("sha1"),
         F.when(same, F.first("member")).otherwise(disagree).alias("member"),
     ).write.parquet(f"{path}/payloads")
 
     stored = pages.sparkSession.read.parquet(f"{path}/payloads").drop("member")
-    keys = rows.select("row", "id", "url", F.unhex(F.sha2("payload", 256)).alias("sha256"))
+    largest = keys.groupBy("sha256").agg(F.max(F.struct("id", "row")).alias("kept"))
     is_kept = F.col("id").eqNullSafe(F.col("kept.id")) & (F.col("row") == F.col("kept.row"))
-    typed = keys.join(stored, "sha256").withColumn(
+    typed = keys.join(largest.join(stored, "sha256"), "sha256").withColumn(
         "record_type",
         F.when((F.col("n_bytes") < least) | is_kept, "response").otherwise("revisit"),
     )

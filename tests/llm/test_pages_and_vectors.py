@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.checks.compare import connect, differences
 from tallyloom.llm import crf, html_blocks, labelled_pages, queries, topk, warc
+from tallyloom.llm.shared import kept
 
 
 @pytest.mark.parametrize("name", queries.ORACLE)
@@ -74,6 +75,25 @@ def test_archive_of_odd_pages(spark, pages, tmp_path, least):
     assert spark.read.parquet(f"{path}/payloads").count() == len(distinct)
 
 
+def test_records_refer_rightly_however_files_are_cut(spark, pages, tmp_path, monkeypatch):
+    key = "spark.sql.files.minPartitionNum"
+
+    def kept_then_cut(df):
+        out = kept(df)
+        spark.conf.set(key, "1")
+        return out
+
+    many = pages.crossJoin(spark.range(5).withColumnRenamed("id", "again"))
+    many.repartition(12, F.rand(5)).write.parquet(f"{tmp_path}/pages")
+    monkeypatch.setattr(warc, "kept", kept_then_cut)
+    try:
+        warc.write(spark.read.parquet(f"{tmp_path}/pages"), f"{tmp_path}/archive")
+    finally:
+        spark.conf.unset(key)
+    found = warc.summary(warc.read(spark, f"{tmp_path}/archive")).collect()
+    assert Counter(tuple(r) for r in found) == want_records(many)
+
+
 def test_records_are_exact_and_files_give_them_back(spark, pages, tmp_path):
     path = f"{tmp_path}/archive"
     warc.write(pages, path)
