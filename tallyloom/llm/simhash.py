@@ -27,13 +27,14 @@ class are null; an empty table gives no rows. Other columns may have any name.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .shared import kept
 
@@ -305,17 +306,22 @@ def link(
     shingle: int = 3,
     max_bits: int = 3,
     shard_rows: int = 2048,
+    also: Sequence[str] = (),
 ) -> DataFrame:
-    """(row, doc_id, fingerprint, component_id) for each row of ``docs``.
+    """(row, doc_id, fingerprint, component_id, any ``also`` columns) for each row of ``docs``.
 
-    ``row`` numbers the rows as Spark's scan of them gives them out.
+    ``row`` numbers the rows as Spark's scan of them gave them out, this once.
     """
     rows = kept(
         with_fingerprints(
             docs,
             text,
             shingle,
-            [F.monotonically_increasing_id().alias("row"), F.col(id).alias("doc_id")],
+            [
+                F.monotonically_increasing_id().alias("row"),
+                F.col(id).alias("doc_id"),
+                *[F.col(c) for c in also],
+            ],
         )
     )
     least = rows.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
@@ -324,7 +330,7 @@ def link(
     # Distinct fingerprints only; the rows of a class are first summed up where they are.
     names = named.groupBy("class").agg(F.min("least").alias("component_id"))
     return rows.join(named.join(names, "class").drop("class", "least"), "fingerprint").select(
-        "row", "doc_id", "fingerprint", "component_id"
+        "row", "doc_id", "fingerprint", "component_id", *also
     )
 
 
@@ -332,25 +338,50 @@ def hex16(fingerprint: Column) -> Column:
     return F.lpad(F.lower(F.hex(fingerprint)), 16, "0")
 
 
+def _hashable(t: T.DataType) -> bool:
+    if isinstance(t, T.ArrayType):
+        return _hashable(t.elementType)
+    if isinstance(t, T.StructType):
+        return all(_hashable(f.dataType) for f in t.fields)
+    return not isinstance(t, (T.MapType, T.VariantType))
+
+
+def content_key(docs: DataFrame) -> list[Column]:
+    """Two hashes of a row's columns: equal rows share them, different ones do not."""
+    columns = [F.col(f.name) for f in docs.schema.fields if _hashable(f.dataType)]
+    # A hash passes over nulls, so which columns are null is hashed too.
+    columns.append(F.array(*[c.isNull() for c in columns]))
+    return [F.xxhash64(F.lit(salt), *columns) for salt in ("key", "and another")]
+
+
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """One row of each class, in its own columns: that with the least id, of equal ones the first."""
-    row = "__row"
-    linked = link(docs, id, text, **options)
-    # Ids are unique in the classes of most tables; of equal ones the first row stays.
-    first = (
-        linked.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy("component_id", "doc_id", "fingerprint")
-        .agg(F.min("row").alias(row))
-        .groupBy("component_id")
-        .agg(F.min(row).alias(row))
-        .where("component_id is not null")
-    )
+    """One row of each class, in its own columns: that with the least id.
+
+    The rows that stay are found again by their content, not by their place, so it does not matter
+    in which order or portions a second read of ``docs`` gives them. Of several rows with the least id
+    the one that was read first stays.
+    """
+    mark = "__key"
+    while any(c.lower().startswith(mark) for c in docs.columns):
+        mark = "_" + mark
+    key = [f"{mark}1", f"{mark}2"]
+    keyed = docs.select("*", *[k.alias(c) for k, c in zip(content_key(docs), key)])
+    linked = link(keyed, id, text, also=key, **options)
+    row = F.min("row").alias("row")
+    copies = F.count("*").alias("copies")
+    least = F.min(F.struct("row", *key, "copies")).alias("least")
+    # Repeated rows are first counted where they are.
+    named = linked.where(F.col("doc_id") == F.col("component_id"))
+    first = named.groupBy("component_id", *key).agg(row, copies)
+    first = first.groupBy("component_id").agg(least).select("least.*")
     nameless = linked.where("component_id is null")
     if not nameless.isEmpty():  # all ids of the class are null: its fingerprints name it
         of = classes(nameless, options.get("max_bits", 3), options.get("shard_rows", 2048))
-        more = nameless.join(of, "fingerprint").groupBy("class").agg(F.min("row").alias(row))
-        first = first.select(row).unionByName(more.select(row))
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
-    return numbered.join(first.select(row), row, "left_semi").select(*docs.columns)
-
-
+        more = nameless.join(of, "fingerprint").groupBy("class", *key).agg(row, copies)
+        first = first.unionByName(more.groupBy("class").agg(least).select("least.*"))
+    first = kept(first)
+    stay = keyed.join(first.where("copies = 1"), key, "left_semi")
+    repeated = first.where("copies > 1")
+    if not repeated.isEmpty():
+        stay = stay.unionByName(keyed.join(repeated, key, "left_semi").dropDuplicates(key))
+    return stay.select(*docs.columns)
