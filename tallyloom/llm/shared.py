@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +42,23 @@ def kept(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def steady_splits(spark: SparkSession) -> Iterator[None]:
+    """Within it a file source is cut into the same portions each time it is read.
+
+    Otherwise Spark derives them from the cores it has at the moment, and a lost executor changes
+    which partition a row is in.
+    """
+    key = "spark.sql.files.minPartitionNum"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, before or str(max(1, spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+
+
 def words(text: Column) -> Column:
     """The words of a text; none for null and for white space only."""
     trimmed = F.btrim(text, F.lit(WHITE_SPACE))

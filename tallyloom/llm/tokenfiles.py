@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .bpe import Tokenizer, in_portions
+from .shared import kept, steady_splits
 
 DOCS_IN_FILE = 2000
 BLOCK_TOKENS = 1 << 16
@@ -183,9 +184,10 @@ def count_documents(
 
     ``docs`` must give its rows in the same order each time it is read, as files do.
     """
-    write(docs, tokenizer, path, end, dtype, text)
+    with steady_splits(docs.sparkSession):
+        noted = kept(manifest(docs, id, text))
+        write(docs, tokenizer, path, end, dtype, text)
     found = counts(docs.sparkSession, path, end, dtype)
-    noted = manifest(docs, id, text)
     wrong = F.raise_error(F.lit("token files and documents don't match"))
     matched = F.col("n_tokens").isNotNull() & F.col("n_bytes").isNotNull()
     return noted.join(found, ["part", "nth"], "full").select(

@@ -15,6 +15,7 @@ from conftest import SF_DIR
 from pyspark.sql import functions as F
 
 from tallyloom.llm import bpe, mixing, quality, queries, secrets, shards, simhash, tokenfiles
+from tallyloom.llm.shared import steady_splits
 
 LONG = " ".join(f"word{i % 977}x{i % 31}." for i in range(40_000))
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma"
@@ -44,6 +45,14 @@ def documents(spark):
     return df.select("*", *[F.lit(n).alias(n) for n in names.split()])
 
 
+@pytest.fixture
+def other_splits(spark):
+    """Has files cut into other portions from the call on, as a changed number of cores does."""
+    key = "spark.sql.files.minPartitionNum"
+    yield lambda: spark.conf.set(key, "1")
+    spark.conf.unset(key)
+
+
 @pytest.fixture(scope="module")
 def no_documents(documents):
     return documents.where("false")
@@ -184,6 +193,16 @@ def test_keep_one_of_each(documents, docs):
         assert ids.count(None) == len(set(slow_classes([(f, f) for f in nameless]).values()))
 
 
+def test_rows_that_stay_are_found_however_files_are_cut(spark, docs, tmp_path, other_splits):
+    path = f"{tmp_path}/docs"
+    copies = docs.unionByName(docs.where("doc_id % 3 = 0")).withColumn("__key1", F.lit(1))
+    copies.repartition(12, F.rand(5)).write.parquet(path)
+    stays = simhash.keep_one(spark.read.parquet(path))
+    other_splits()
+    ids = sorted(r.doc_id for r in stays.select("doc_id").collect())
+    assert ids == sorted({c for _, _, c in linked(docs)})
+
+
 # --- mixing ------------------------------------------------------------------------------
 
 
@@ -302,6 +321,18 @@ def test_counts_from_token_files(docs, documents, no_documents, tokenizer, libra
         assert Counter(tuple(r) for r in found.collect()) == want
 
 
+def test_splits_stay_while_files_are_written(spark):
+    key = "spark.sql.files.minPartitionNum"
+    for before in (None, "3"):
+        if before:
+            spark.conf.set(key, before)
+        with pytest.raises(KeyError), steady_splits(spark):
+            assert spark.conf.get(key) == (before or str(spark.sparkContext.defaultParallelism))
+            raise KeyError
+        assert spark.conf.get(key, None) == before
+    spark.conf.unset(key)
+
+
 @pytest.mark.parametrize("block", [1, 2, 3, 5, 100])
 def test_boundaries_are_stitched(spark, tmp_path, block):
     end = 9
