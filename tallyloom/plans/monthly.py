@@ -13,7 +13,13 @@ from ..functions import (
     retention,
     revenue_segment,
 )
-from ..operators import completed, monthly_orders, previous_active, previous_calendar
+from ..operators import (
+    completed,
+    monthly_orders,
+    previous_active,
+    previous_calendar,
+    sort_kpi,
+)
 from ..operators.windows import known_key
 
 # Decimals up to here, doubles in the result.
@@ -47,7 +53,10 @@ def kpi_columns(monthly: DataFrame, lookback: str) -> DataFrame:
 
 
 def customer_kpi(
-    orders: DataFrame, lookback: str = "active", unique_order_id: bool = False
+    orders: DataFrame,
+    lookback: str = "active",
+    unique_order_id: bool = False,
+    ordered: bool = False,
 ) -> DataFrame:
     """KPI rows of every customer-month.
 
@@ -55,9 +64,15 @@ def customer_kpi(
     ``"calendar"`` with the previous calendar month and the same month of last year.
     One scan, no join; the growth, segments and retention all come from one window over the
     aggregated months.
+
+    ``ordered`` sorts the rows by customer and month, nulls last. The customer-months are then
+    put into ranges of customers before the window, and that one shuffle serves the sort too.
     """
     if lookback not in ("active", "calendar"):
         raise ValueError(f"lookback must be 'active' or 'calendar', not {lookback!r}")
     monthly = monthly_orders(completed(orders, "order_status"), unique_order_id)
     previous = previous_active if lookback == "active" else previous_calendar
-    return kpi_columns(previous(monthly), lookback)
+    if not ordered:
+        return kpi_columns(previous(monthly), lookback)
+    in_ranges = monthly.repartitionByRange(F.asc_nulls_last("customer_id"))
+    return sort_kpi(kpi_columns(previous(in_ranges), lookback))

@@ -50,6 +50,19 @@ def test_full_model_is_one_scan_and_one_window(orders, lookback):
     assert "EqualTo(order_status,completed)" in plan
 
 
+@pytest.mark.parametrize("lookback", ["active", "calendar"])
+def test_one_range_shuffle_serves_window_and_sort(orders, lookback):
+    no_customer = orders.where("order_id % 50 = 0").withColumn("customer_id", F.expr("CAST(null AS BIGINT)"))
+    some = orders.unionByName(no_customer)
+    plan = final_plan(plans.customer_kpi(orders, lookback, ordered=True))
+    assert count(plan, "Window") == 1
+    assert count(plan, "Exchange") == 3
+    assert len(re.findall(r"Exchange rangepartitioning\(customer_id", plan)) == 1
+    got = plans.customer_kpi(some, lookback, ordered=True).collect()
+    want = op.sort_kpi(plans.customer_kpi(some, lookback)).collect()
+    assert got == want and got[-1].customer_id is None
+
+
 def test_columns_not_asked_for_cost_nothing(orders):
     plan = final_plan(plans.customer_kpi(orders).select("customer_id", "revenue_segment"))
     assert count(plan, "Window") == 0 and count(plan, "Exchange") == 1
