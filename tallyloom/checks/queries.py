@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 
 from .. import functions as fn
 from .. import operators as op
+from .. import schemas
 from .. import sources as src
 from ..plans import (
     customer_kpi,
@@ -40,8 +42,17 @@ def _plain(df: DataFrame) -> DataFrame:
     )
 
 
+def _with_scratch(spark: SparkSession) -> SparkSession:
+    """A test session on one machine may name no shared folder; it gets one here."""
+    sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not named and (sc.master == "local" or sc.master.startswith("local[")):
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tallyloom-"))
+    return spark
+
+
 def query(f: Query) -> Query:
-    REGISTRY[f.__name__] = lambda spark, sf_dir: _plain(f(spark, sf_dir))
+    REGISTRY[f.__name__] = lambda spark, sf_dir: _plain(f(_with_scratch(spark), sf_dir))
     return f
 
 
@@ -98,8 +109,14 @@ def scan_orders(spark, d):
 
 @query
 def namespaced_table(spark, d):
+    """From a source to a target, each found by its name in a namespace; the target's is the default."""
     sales(spark, d).createOrReplaceGlobalTempView("sales")
-    return src.read_sales(spark, src.table_name("global_temp", "sales"))
+    source = src.read_sales(spark, src.table_name("global_temp", "sales"))
+    location = src.table_name("sales_by_status")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS public LOCATION '{src.scratch_dir(spark)}'")
+    spark.sql(f"DROP TABLE IF EXISTS {location}")
+    op.append(source, src.Target(location, schemas.SALES, ("order_id",), "status"))
+    return src.read_sales(spark, location)
 
 
 @query

@@ -10,14 +10,17 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import reduce
 from operator import and_
+from threading import RLock
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.readers import remove, scratch_dir, stage
-from ..sources.targets import Target, exists, find_state
+from ..sources.targets import NULL_PART, Target, exists, find_state
 from .filters import require
 
+_OVERWRITE = RLock()
+
 
 def _arranged(df: DataFrame, target: Target) -> DataFrame:
     """The target's columns, gathered by partition value and sorted by key within a task.
@@ -54,14 +57,19 @@ def append(df: DataFrame, target: Target) -> None:
 
 @contextmanager
 def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    """For catalog tables Spark takes the mode from the session, not from the writer."""
+    """For catalog tables Spark takes the mode from the session, not from the writer.
+
+    Writers of this module take turns. Other code that overwrites a partitioned table meanwhile
+    needs a session of its own.
+    """
     key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    with _OVERWRITE:
+        before = spark.conf.get(key)
+        spark.conf.set(key, "dynamic")
+        try:
+            yield
+        finally:
+            spark.conf.set(key, before)
 
 
 def _replace_partitions(df: DataFrame, target: Target) -> None:
@@ -82,7 +90,7 @@ def _parts(df: DataFrame, target: Target) -> set:
 def _drop_partition(spark: SparkSession, target: Target, value: object) -> None:
     name = target.partition_by
     if target.is_path:
-        folder = "__HIVE_DEFAULT_PARTITION__" if value is None else value
+        folder = NULL_PART if value is None else value
         remove(spark, f"{target.location.rstrip('/')}/{name}={folder}")
     else:
         given = "null" if value is None else f"DATE '{value}'"
@@ -114,9 +122,11 @@ def materialize(df: DataFrame, target: Target) -> None:
 
 
 def _require_unique(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    rows = Window.partitionBy(*keys).orderBy(*keys)
-    numbered = df.withColumn("_n", F.row_number().over(rows))
-    return require(numbered, F.col("_n") == 1, f"two rows for one key ({', '.join(keys)})")
+    """The rows, or a failed job. Repeats of a key are counted where they are, before the shuffle."""
+    values = [F.first(c).alias(c) for c in df.columns if c not in keys]
+    counted = df.groupBy(*keys).agg(*values, F.count(F.lit(1)).alias("_n"))
+    message = f"two rows for one key ({', '.join(keys)})"
+    return require(counted, F.col("_n") == 1, message).select(*df.columns)
 
 
 def _touched(df: DataFrame, target: Target) -> Column:

@@ -17,7 +17,7 @@ from ..operators import (
     previous_calendar,
     upsert,
 )
-from ..sources import Target, find_state, read_orders, require_same_table
+from ..sources import Target, find_state, read_orders, require_same_table, stored_parts
 from .monthly import customer_kpi, kpi_columns
 
 METRICS = ("monthly_orders", "monthly_revenue", "avg_order_value")
@@ -87,6 +87,17 @@ def customer_kpi_incremental(
     return _refresh(orders, state, since, unique_order_id)
 
 
+def _stored_mark(
+    spark: SparkSession, target: Target, state: DataFrame, lookback_months: int
+) -> dt.date | None:
+    """The high-water mark from the names of the partitions: rows of the latest one confirm it."""
+    for month in stored_parts(spark, target):
+        rows = state.where(F.col("order_month") == F.lit(month))
+        if not rows.isEmpty():
+            return high_water_mark(rows, lookback_months)
+    return None
+
+
 def run_customer_kpi(
     spark: SparkSession,
     src: DataFrame | str,
@@ -106,7 +117,7 @@ def run_customer_kpi(
         materialize(customer_kpi(orders, "active", unique_order_id), target)
         return None
     state = find_state(spark, target)
-    since = None if state is None else high_water_mark(state, lookback_months)
+    since = None if state is None else _stored_mark(spark, target, state, lookback_months)
     if since is None:
         materialize(customer_kpi(orders, "calendar", unique_order_id), target)
         return None

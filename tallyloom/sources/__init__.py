@@ -17,6 +17,7 @@ from .targets import (
     kpi_target,
     read_state,
     require_same_table,
+    stored_parts,
 )
 
 __all__ = [
@@ -35,5 +36,6 @@ __all__ = [
     "require_same_table",
     "scratch_dir",
     "stage",
+    "stored_parts",
     "table_name",
 ]

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 import re
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -109,17 +108,13 @@ def read_jdbc_sales(
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A fresh folder under ``spark.checkpoint.dir``, which every executor can reach.
+    """A fresh folder under ``spark.checkpoint.dir``, which every executor must reach.
 
-    Only a local session may do without the setting.
+    Without the setting it lies in the context's checkpoint folder; there is no other fallback.
     """
-    master = spark.sparkContext.master
-    on_one_machine = master == "local" or master.startswith("local[")
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not on_one_machine:
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        root = tempfile.mkdtemp(prefix="tallyloom-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -11,6 +12,9 @@ from pyspark.sql import types as T
 
 from .. import schemas
 
+#: Name that the null partition has in paths.
+NULL_PART = "__HIVE_DEFAULT_PARTITION__"
+
 
 @dataclass(frozen=True)
 class Target:
@@ -89,6 +93,26 @@ def require_same_table(spark: SparkSession, target: Target) -> None:
         raise ValueError(f"{target.location} holds a table with other columns")
 
 
+def stored_parts(spark: SparkSession, target: Target) -> list[dt.date]:
+    """Dates or months that the target has a partition of, the latest first; opens no file.
+
+    The null partition is left out, and a partition need not hold rows.
+    """
+    if target.is_path:
+        jvm = spark._jvm
+        where = jvm.org.apache.hadoop.fs.Path(target.location)
+        files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+        names = [x.getPath().getName() for x in files.listStatus(where)] if files.exists(where) else []
+    elif spark.catalog.tableExists(target.location):
+        names = [r[0] for r in spark.sql(f"SHOW PARTITIONS {target.location}").collect()]
+    else:
+        names = []
+    begin = f"{target.partition_by}="
+    values = [x.removeprefix(begin) for x in names if x.startswith(begin)]
+    found = [dt.date.fromisoformat(x) for x in values if x not in ("null", NULL_PART)]
+    return sorted(found, reverse=True)
+
+
 def exists(spark: SparkSession, target: Target) -> bool:
     return find_state(spark, target) is not None
 

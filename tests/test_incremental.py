@@ -108,6 +108,21 @@ def test_an_empty_target_is_loaded_in_full(spark, make_orders, new_path):
     assert sources.read_state(spark, target).count() == 1
 
 
+def test_the_mark_is_taken_from_partitions_that_hold_rows(spark, make_orders, new_path):
+    target = sources.kpi_target(new_path)
+    early = [(1, 1, 10, "2024-01-05"), (1, 2, 10, None)]
+    run_customer_kpi(spark, make_orders(*early), target)
+    later = sources.read_state(spark, target).where("order_month = DATE '2024-01-01'").limit(0)
+    later.drop("order_month").write.parquet(f"{new_path}/order_month=2024-07-01")
+    assert sources.stored_parts(spark, target)[0] == month("2024-07")
+    more = make_orders(*early, (1, 3, 10, "2024-02-05"))
+    assert run_customer_kpi(spark, more, target) == month("2024-01")
+    assert same_rows(
+        sources.read_state(spark, target).where("order_month is not null"),
+        customer_kpi(more, "calendar").where("order_month is not null"),
+    )
+
+
 def test_late_orders_need_a_lookback(spark, make_orders, tmp_path):
     early = [(1, 1, 10, "2024-01-05"), (1, 2, 10, "2024-03-05")]
     late = (1, 3, 10, "2024-02-05")

@@ -2,7 +2,7 @@ import datetime as dt
 from dataclasses import replace
 
 import pytest
-from conftest import rows, same_rows
+from conftest import final_plan, rows, same_rows
 from pyspark.sql import functions as F
 
 from tallyloom import operators as op
@@ -95,6 +95,18 @@ def test_null_keys_elsewhere_fail(target, frame, row):
         op.upsert(frame(row), target)
 
 
+def test_stored_parts_are_named_without_reading(spark, target, frame):
+    assert sources.stored_parts(spark, target) == []
+    op.append(frame((1, 1.0, 1, A), (2, 2.0, 2, C), (3, 3.0, 3, None)), target)
+    assert sources.stored_parts(spark, target) == [C, A]
+
+
+def test_a_key_repeated_very_often_is_counted_before_the_shuffle(spark, frame):
+    batch = frame((1, 1.0, 1, A)).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(9))))
+    plan = final_plan(op.sinks._require_unique(batch, ("customer_id", "date")))
+    assert "partial_count" in plan and "Window" not in plan and "SortAggregate" not in plan
+
+
 def test_append(spark, target, frame):
     for _ in range(2):
         op.append(frame((1, 1.0, 1, A)), target)

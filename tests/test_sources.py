@@ -93,6 +93,19 @@ def test_scratch_is_under_the_shared_folder(spark):
     assert first != second and first.startswith(root) and second.startswith(root)
 
 
+def test_scratch_has_no_fallback(spark):
+    class Unset:
+        conf = type("Conf", (), {"get": lambda self, key, default: default})()
+        sparkContext = type("Context", (), {"getCheckpointDir": lambda self: None})()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        sources.scratch_dir(Unset())
+
+
+def test_the_default_namespace_is_public():
+    assert sources.table_name("sales") == "`public`.`sales`"
+
+
 def test_stage_keeps_types(spark, make_sales, new_path):
     sales = make_sales((1, 123, None, "1.10", "completed", "2024-01-01 10:00:00.000001"))
     staged = sources.stage(sales, new_path)
