@@ -24,6 +24,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 #: Pieces of more bytes than this are merged one by one.
 LONG = 64
-#: Encoded pieces that a task keeps at most; then it begins anew.
+#: Encoded pieces that a task keeps at most from one portion to the next; then it begins anew.
 KEPT_PIECES = 300_000
 #: New pieces that are merged together at most.
 TOGETHER = 50_000
@@ -212,27 +213,27 @@ class Encoder:
         self.pieces = regex.compile(pattern).findall
         self.known: dict[str, bytes] = {}
 
-    def learn(self, new: set[str]) -> None:
-        """Encode pieces that are not known yet."""
-        if len(self.known) + len(new) > KEPT_PIECES:
-            self.known = {}
+    def learn(self, new: set[str], table: dict[str, bytes]) -> None:
+        """Encode pieces that the table doesn't have yet."""
         todo = list(new)
         for low in range(0, len(todo), TOGETHER):
             some = todo[low : low + TOGETHER]
             found = merge([p.encode("utf-8", "surrogatepass") for p in some], self.v)
-            self.known |= {p: ids.astype(self.dtype).tobytes() for p, ids in zip(some, found)}
+            table |= {p: ids.astype(self.dtype).tobytes() for p, ids in zip(some, found)}
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text."""
         split = [self.pieces(t) for t in texts]
         distinct = set().union(*split) if split else set()
         new = distinct - self.known.keys()
-        if new:
-            size = len(self.known)
-            self.learn(new)
-            if len(self.known) < size + len(new):  # begun anew
-                self.learn(distinct - self.known.keys())
-        known = self.known.__getitem__
+        table = self.known
+        if len(table) + len(new) > KEPT_PIECES:  # begin anew with the pieces of these texts
+            table = {p: table[p] for p in distinct - new}
+            self.known = {}
+        self.learn(new, table)
+        # These texts may have more pieces than are kept: they are looked up in all of them.
+        self.known = table if len(table) <= KEPT_PIECES else dict(islice(table.items(), KEPT_PIECES))
+        known = table.__getitem__
         return [b"".join(map(known, pieces)) for pieces in split]
 
 

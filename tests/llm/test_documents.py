@@ -311,6 +311,19 @@ def test_a_full_table_of_pieces_begins_anew(library, monkeypatch):
         assert np.frombuffer(ids, "<u4").tolist() == library.encode_ordinary(text)
 
 
+def test_texts_of_more_pieces_than_are_kept(library, monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT_PIECES", 20)
+    encoder = bpe.Encoder(
+        bpe.Vocabulary(bpe.read_ranks(public_tokenizers.path(queries.RANKS))),
+        public_tokenizers.PATTERN,
+    )
+    many = " ".join(f"w{i}" for i in range(100, 160))
+    for texts in (["one two w100"], [many, "one"], [many + " six", many], ["one w159"]):
+        for text, ids in zip(texts, encoder.encode_all(texts)):
+            assert np.frombuffer(ids, "<u4").tolist() == library.encode_ordinary(text)
+        assert len(encoder.known) <= 20
+
+
 def test_counts_from_token_files(docs, documents, no_documents, tokenizer, library, tmp_path):
     for i, df in enumerate((docs, documents, no_documents)):
         found = tokenfiles.count_documents(df, tokenizer, f"{tmp_path}/t{i}", queries.END)
