@@ -32,10 +32,13 @@ SEED = 11
 BEFORE, AFTER = 64, 16
 REDACTED = "[SECRET]"
 
-TOKEN = r"[A-Za-z0-9+/_=.\-]"
+TOKEN = r"[A-Za-z0-9+/_.\-]"
+#: A token with a digit. '=' parts a name from its value and belongs to a token as its padding only.
+KEY = rf"(?=[A-Za-z+/_.\-]*+[0-9]){TOKEN}{{16,}}+(?:={{1,3}}+(?![\"'`]?{TOKEN}))?+"
 CANDIDATE = (
-    rf"(?<!{TOKEN})(?=[A-Za-z+/_=.\-]*+[0-9]){TOKEN}{{16,}}+"
-    r"|(?<=[=:] ?[\"'])[^\"'\s]{8,256}(?=[\"'])"
+    rf"(?<!{TOKEN}){KEY}"
+    # a quoted value that holds no such key after a '='
+    rf"|(?<=[=:] ?[\"'])(?![^\"'\s]*={KEY})[^\"'\s]{{8,256}}(?=[\"'])"
     r"|-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"
 )
 
@@ -123,7 +126,8 @@ def features(value: Column, before: Column, after: Column) -> Column:
 def labelled_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
     """(value, before, after, label) made by rule: half secrets, half what only looks like them.
 
-    There are as many rows of each kind of secret, and as many of each kind of lookalike.
+    As many texts are made of each kind of secret, and as many of each kind of lookalike; the rows are
+    what a scan finds in them. A text holds one candidate at most.
     """
     h = lambda salt: F.xxhash64("id", F.lit(salt))
 
@@ -150,7 +154,13 @@ def labelled_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
     sign = pick([" = ", "=", ": ", " : ", " => ", " ", " is "], "sign")
     quote = pick(['"', '"', '"', "'", ""], "quote")
     assigned = F.concat(said, asked, tail, sign, quote)
-    labelled = F.concat(said, pick(HARMLESS_WORDS, "of"), pick([" ", ": ", " = "], "to"), quote)
+    # settings and links: no quotes, and the sign right after the name
+    name = F.concat(pick(["", "", "AWS_", "app_", "MY_", "db."], "whose"), asked)
+    link = F.concat(F.lit("https://"), pick(["api", "www"], "site"), F.lit(".example.com/a?"))
+    bare = F.concat(pick(["", "\n", "export ", "&", "?"], "stands"), name, F.lit("="))
+    bare = F.when(F.pmod(h("linked"), F.lit(3)) == 0, F.concat(link, name, F.lit("="))).otherwise(bare)
+    ends = pick(["", "\n", "&page=2", ";"], "ends")
+    labelled = F.concat(said, pick(HARMLESS_WORDS, "of"), pick([" ", ": ", " = ", "="], "to"), quote)
     path = F.concat(
         F.lit("/"), pick(names, "p1"), F.lit("/"), pick(names, "p2"), cut(number, 3), F.lit(".txt")
     )
@@ -180,6 +190,8 @@ def labelled_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
         (labelled, cut(digest, 40), quote),
         (labelled, cut(digest, 64), quote),
         (labelled, uuid, quote),
+        (F.concat(link, pick(HARMLESS_WORDS, "of"), F.lit("=")), cut(digest, 40), ends),
+        (bare, pick(placeholders, "placeholder"), ends),
         (labelled, cut(number, 16), quote),
         (assigned, pick(placeholders, "placeholder"), quote),
         (near, cut(number, 16), tail),
@@ -193,18 +205,24 @@ def labelled_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
         (near, F.concat(F.lit("2024-0"), cut(number, 1), F.lit("-release-"), cut(number, 4, 2)), tail),
     ]
     cases = [(assigned, x, F.concat(quote, tail), 1.0) for x in secrets]
+    cases += [(bare, x, ends, 1.0) for x in secrets[:-1]]
     cases += [(*x, 0.0) for x in lookalikes]
     made = None
     for i, (before, value, after, label) in enumerate(cases):
-        each = n // 2 // (len(secrets) if label else len(lookalikes))
+        each = n // 2 // (len(cases) - len(lookalikes) if label else len(lookalikes))
         rows = spark.range(i * n, i * n + each, 1, 1).select(
-            value.alias("value"),
-            F.right(before, F.lit(BEFORE)).alias("before"),
-            F.left(F.concat_ws(" ", after, pick(prose, "w4")), F.lit(AFTER)).alias("after"),
+            F.concat(before, value, F.concat_ws(" ", after, pick(prose, "w4"))).alias("text"),
             F.lit(label).alias("label"),
         )
         made = rows if made is None else made.unionByName(rows)
-    return made
+    pieces = cut_out(made, "text")
+    values, parts = F.col("values"), F.col("parts")
+
+    def shown(v: Column, i: Column) -> Column:
+        before, after = beside(values, parts, i)
+        return F.struct(v.alias("value"), before.alias("before"), after.alias("after"))
+
+    return pieces.select(F.inline(F.transform(values, shown)), "label")
 
 
 def fit(findings: DataFrame) -> list[str]:
@@ -254,6 +272,27 @@ def trained(spark: SparkSession, findings: DataFrame | None = None) -> list[str]
     return fit(labelled_findings(spark) if findings is None else findings)
 
 
+def cut_out(docs: DataFrame, text: str, prefix: str = "") -> DataFrame:
+    """``docs`` with ``values``, the candidates of a text, and ``parts``, the text between them."""
+    body = F.col(text)
+    has = F.coalesce(body.rlike(CANDIDATE), F.lit(False))
+    return docs.select(
+        *[F.col(c) for c in docs.columns],
+        F.when(has, F.split(body, CANDIDATE)).otherwise(F.array(body)).alias(f"{prefix}parts"),
+        F.when(has, F.regexp_extract_all(body, F.lit(CANDIDATE), F.lit(0)))
+        .otherwise(F.array().cast("array<string>"))
+        .alias(f"{prefix}values"),
+    )
+
+
+def beside(values: Column, parts: Column, i: Column) -> tuple[Column, Column]:
+    """What stands before and after candidate ``i``."""
+    or_empty = lambda x: F.coalesce(x, F.lit(""))
+    before = F.concat(or_empty(F.get(values, i - 1)), or_empty(F.get(parts, i)))
+    after = F.concat(or_empty(F.get(parts, i + 1)), or_empty(F.get(values, i + 1)))
+    return F.right(before, F.lit(BEFORE)), F.left(after, F.lit(AFTER))
+
+
 def found(docs: DataFrame, trees: list[str], text: str = "text", prefix: str = "") -> DataFrame:
     """``docs`` with ``parts`` (the text between candidates) and ``candidates``: value, score, secret.
 
@@ -261,26 +300,11 @@ def found(docs: DataFrame, trees: list[str], text: str = "text", prefix: str = "
     """
     p = prefix
     keep = [F.col(c) for c in docs.columns]
-    body = F.col(text)
-    has = F.coalesce(body.rlike(CANDIDATE), F.lit(False))
-    out = docs.select(
-        *keep,
-        F.when(has, F.split(body, CANDIDATE)).otherwise(F.array(body)).alias(f"{p}parts"),
-        F.when(has, F.regexp_extract_all(body, F.lit(CANDIDATE), F.lit(0)))
-        .otherwise(F.array().cast("array<string>"))
-        .alias(f"{p}values"),
-    )
+    out = cut_out(docs, text, p)
     values, parts = F.col(f"{p}values"), F.col(f"{p}parts")
 
     def described(v: Column, i: Column) -> Column:
-        or_empty = lambda x: F.coalesce(x, F.lit(""))
-        before = F.right(
-            F.concat(or_empty(F.get(values, i - 1)), or_empty(F.get(parts, i))), F.lit(BEFORE)
-        )
-        after = F.left(
-            F.concat(or_empty(F.get(parts, i + 1)), or_empty(F.get(values, i + 1))), F.lit(AFTER)
-        )
-        return F.struct(v.alias("value"), features(v, before, after).alias("f"))
+        return F.struct(v.alias("value"), features(v, *beside(values, parts, i)).alias("f"))
 
     out = out.select(
         *keep,

@@ -491,6 +491,31 @@ def test_secrets_and_lookalikes(spark, trees):
     assert all(clean[i] == texts[i] for i in (3, 4, 6, 7))
 
 
+def test_values_right_after_a_name(spark, trees):
+    mixed = "Vq8sLm2Zt7RkWx4PnB6dQw3eRt5yUi9oPa1sDf7g"
+    texts = {
+        1: (f"api_key={KEY}", KEY),
+        2: (f"export AWS_SECRET_ACCESS_KEY={mixed}\nexport REGION=x", mixed),
+        3: (f"see https://www.example.com/a?token={KEY}&page=2 for", KEY),
+        4: (f'<a href="https://www.example.com/a?page=2&token={KEY}">', KEY),
+        5: (f'key: "{mixed}=="', f"{mixed}=="),
+        6: (f"DB_PASSWORD={mixed}=", f"{mixed}="),
+        7: (f"commit={KEY}", None),
+        8: (f'AWS_S3_SECRET_ACCESS_KEY_2="{mixed}"', mixed),
+    }
+    df = spark.createDataFrame([(i, t) for i, (t, _) in texts.items()], "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in secrets.scan(df, trees).collect()}
+    cut = {i: [t[s.start : s.start + s.length] for s in found[i]] for i, (t, _) in texts.items()}
+    assert cut == {i: [v] if v else [] for i, (_, v) in texts.items()}
+
+
+def test_findings_are_what_a_scan_finds(spark):
+    rows = secrets.labelled_findings(spark, 600).collect()
+    assert all("=" not in r.value for r in rows)
+    assert any(r.label and r.before.endswith("=") for r in rows)
+    assert any(r.value.startswith("//") for r in rows)
+
+
 def test_held_out_findings(spark, trees):
     rows = secrets.labelled_findings(spark, 5 * secrets.FINDINGS)
     f = secrets.features(F.col("value"), F.col("before"), F.col("after"))
