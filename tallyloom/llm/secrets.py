@@ -1,7 +1,7 @@
 """Secret scans with a random forest that removes false positives, in DataFrame functions only.
 
 * **Candidates** are found by one pattern over the whole text: tokens long enough to be a key that hold a
-  digit, quoted values after ``=`` or ``:``, and heads of private keys.
+  digit, quoted values after ``=`` or ``:``, and private keys from their first line to their last.
 * **Features** of a candidate: its length, shares of character classes, transitions between
   classes and common letter pairs, how much of it dictionary words cover, whether it looks like a path,
   address or number, and the words beside it.
@@ -35,11 +35,19 @@ REDACTED = "[SECRET]"
 TOKEN = r"[A-Za-z0-9+/_.\-]"
 #: A token with a digit. '=' parts a name from its value and belongs to a token as its padding only.
 KEY = rf"(?=[A-Za-z+/_.\-]*+[0-9]){TOKEN}{{16,}}+(?:={{1,3}}+(?![\"'`]?{TOKEN}))?+"
+PEM = r"-----BEGIN ([A-Z0-9 ]{0,30})PRIVATE KEY((?: BLOCK)?)-----"
+#: What follows the first line of a private key: a new line (also a written one), or the key or its
+#: headers on the same line. A first line within running text is a candidate by itself.
+KEY_FOLLOWS = (
+    r"(?=[ \t\"'`,+]*+(?:[\r\n]|\\+[nr]|<br|[A-Za-z0-9+/=]{16}"
+    r"|(?:Version|Comment|Hash|Charset|MessageID|Proc-Type|DEK-Info):))"
+)
 CANDIDATE = (
-    rf"(?<!{TOKEN}){KEY}"
+    # to its last line, or to the end of the text
+    rf"{PEM}(?:{KEY_FOLLOWS}(?s:.*?)(?:-----END \1PRIVATE KEY\2-----|\z))?+"
+    rf"|(?<!{TOKEN}){KEY}"
     # a quoted value that holds no such key after a '='
     rf"|(?<=[=:] ?[\"'])(?![^\"'\s]*={KEY})[^\"'\s]{{8,256}}(?=[\"'])"
-    r"|-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"
 )
 
 # Words that tell secrets from what looks like them.
@@ -74,7 +82,8 @@ NAMES = (
 
 
 def features(value: Column, before: Column, after: Column) -> Column:
-    """A struct of doubles, one for each of ``NAMES``."""
+    """A struct of doubles, one for each of ``NAMES``. A private key is judged by its first line."""
+    value = F.when(value.startswith("-----BEGIN"), F.regexp_extract(value, PEM, 0)).otherwise(value)
     n = F.length(value).cast("double")
     count = lambda pattern: F.regexp_count(value, F.lit(pattern)).cast("double")
     flag = lambda condition: condition.cast("double")
@@ -183,8 +192,11 @@ def labelled_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
         F.concat(F.lit("ghp_"), cut(mixed, 36)),
         F.concat(F.lit("sk_live_"), cut(mixed, 24)),
         F.concat(F.lit("eyJ"), cut(mixed, 30), F.lit("."), cut(mixed, 40, 31)),
-        F.lit("-----BEGIN RSA PRIVATE KEY-----"),
     ]
+    kind = pick(["RSA ", "EC ", "DSA ", "OPENSSH ", "ENCRYPTED ", "", "PGP "], "kind")
+    block = F.when(kind == "PGP ", F.lit(" BLOCK")).otherwise(no_text)
+    edge = lambda x: F.concat(F.lit(f"-----{x} "), kind, F.lit("PRIVATE KEY"), block, F.lit("-----"))
+    pem = F.concat(edge("BEGIN"), F.lit("\n"), mixed, F.lit("\n"), cut(mixed, 30), F.lit("\n"), edge("END"))
     # what stands before the value, the value, what stands after it
     lookalikes = [
         (labelled, cut(digest, 40), quote),
@@ -205,7 +217,9 @@ def labelled_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
         (near, F.concat(F.lit("2024-0"), cut(number, 1), F.lit("-release-"), cut(number, 4, 2)), tail),
     ]
     cases = [(assigned, x, F.concat(quote, tail), 1.0) for x in secrets]
-    cases += [(bare, x, ends, 1.0) for x in secrets[:-1]]
+    cases += [(bare, x, ends, 1.0) for x in secrets]
+    cases += [(x, pem, F.lit("\n"), 1.0) for x in (assigned, F.concat(near, F.lit("\n")), no_text)]
+    cases += [(near, edge("BEGIN"), F.lit(" "), 1.0)]
     cases += [(*x, 0.0) for x in lookalikes]
     made = None
     for i, (before, value, after, label) in enumerate(cases):

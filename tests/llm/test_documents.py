@@ -509,6 +509,34 @@ def test_values_right_after_a_name(spark, trees):
     assert cut == {i: [v] if v else [] for i, (_, v) in texts.items()}
 
 
+def test_private_keys_go_whole(spark, trees):
+    body = ["MIIEowIBAAKCAQEA" + KEY, "abcdefGHIJklmnopqrSTUV+/QRSTuvWXyz==", "shortline", "a+b="]
+    texts, want = {}, {}
+    for kind in ("RSA ", "EC ", "OPENSSH ", "ENCRYPTED ", ""):
+        block = "\n".join([f"-----BEGIN {kind}PRIVATE KEY-----", *body, f"-----END {kind}PRIVATE KEY-----"])
+        texts[f"{kind}alone"], want[f"{kind}alone"] = block, "[SECRET]"
+        texts[f"{kind}twice"] = f"one\n{block}\ntwo\n{block}\nthree"
+        want[f"{kind}twice"] = "one\n[SECRET]\ntwo\n[SECRET]\nthree"
+    pgp = "PGP PRIVATE KEY BLOCK-----"
+    lines = ["Version: GnuPG v2", "", *body]
+    texts["pgp"] = "\n".join(["my key:", f"-----BEGIN {pgp}", *lines, f"-----END {pgp}", "bye"])
+    want["pgp"] = "my key:\n[SECRET]\nbye"
+    texts["written"] = "key: '" + block.replace("\n", "\\n") + "', x"
+    want["written"] = "key: '[SECRET]', x"
+    texts["no end"] = "\n".join(["of", "-----BEGIN RSA PRIVATE KEY-----", *body])
+    want["no end"] = "of\n[SECRET]"
+    texts["one line"] = " ".join(["of", "-----BEGIN RSA PRIVATE KEY-----", *body])
+    want["one line"] = "of [SECRET]"
+    texts["long"] = f"-----BEGIN {pgp}\n" + (body[0] + "\n") * 20_000 + f"-----END {pgp} end"
+    want["long"] = "[SECRET] end"
+    texts["named"] = "find -----BEGIN RSA PRIVATE KEY----- in your files and take it out"
+    want["named"] = "find [SECRET] in your files and take it out"
+    df = spark.createDataFrame(list(texts.items()), "doc_id string, text string")
+    assert {r.doc_id: r.text for r in secrets.redact(df, trees).collect()} == want
+    found = {r.doc_id: r.spans for r in secrets.scan(df, trees).collect()}
+    assert [(s.start, s.length) for s in found["pgp"]] == [(8, len(texts["pgp"]) - 12)]
+
+
 def test_findings_are_what_a_scan_finds(spark):
     rows = secrets.labelled_findings(spark, 600).collect()
     assert all("=" not in r.value for r in rows)
