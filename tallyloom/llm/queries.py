@@ -1,4 +1,4 @@
-"""Registered queries of the training-data operators, each over its whole table, and SQL for two."""
+"""Registered queries of the training-data operators, each over its whole table, and SQL where it can say them."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, crf, mixing, quality, secrets, shards, simhash, tokenfiles, topk, warc
+from . import bpe, crf, mixing, negatives, quality, secrets, shards, simhash, tokenfiles, topk, warc
 from .shared import kept, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,11 +102,17 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three best negatives for each of the five positives of every fiftieth vector."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(_table(spark, sf_dir, "embeddings").withColumn("label", moved))
+
+
 REGISTRY: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_warc, op2_simhash, op3_mixing, op4_html, op5_bpe, op6_quality, op7_sharding,
-        op8_secrets, op9_topk, op10_tokens,
+        op8_secrets, op9_topk, op10_tokens, op11_negatives,
     )
 }
 
@@ -151,4 +157,38 @@ ORACLE: dict[str, str] = {
         )
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
     """,
+    "op11_negatives": """
+        WITH e AS (
+            SELECT vec_id, embedding,
+                CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
+            FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+        ), u AS (
+            SELECT vec_id, label, generate_subscripts(embedding, 1) AS d, unnest(embedding) AS x FROM e
+        ), w AS (
+            SELECT vec_id, label, d, CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) AS v
+            FROM u
+            WHERE vec_id NOT IN (SELECT vec_id FROM u WHERE x IS NULL OR NOT isfinite(x))
+        ), s AS (
+            SELECT a.vec_id AS anchor_id, c.vec_id AS vec_id, a.label = c.label AS same,
+                CAST(sum(a.v * c.v) AS BIGINT) AS score
+            FROM w a JOIN w c ON a.d = c.d AND a.vec_id <> c.vec_id
+            WHERE a.vec_id % 50 = 0
+            GROUP BY a.vec_id, c.vec_id, a.label = c.label
+        ), p AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score,
+                row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS nth
+            FROM s WHERE same
+        ), r AS (
+            SELECT p.anchor_id, positive_id, vec_id AS negative_id, positive_score,
+                score AS negative_score, row_number() OVER (
+                    PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id
+                ) AS rank
+            FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same
+                AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+            WHERE nth <= 5
+        )
+        SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score,
+            negative_score
+        FROM r WHERE rank <= 3
+    """,
 }
