@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, crf, mixing, negatives, quality, secrets, shards, simhash, tokenfiles, topk, warc
+from . import bpe, crf, mixing, negatives, quality, secrets, shards, simhash, tokenfiles, topk, vectorcodes, warc
 from .shared import kept, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,11 +108,24 @@ def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(_table(spark, sf_dir, "embeddings").withColumn("label", moved))
 
 
+def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every vector."""
+    coded, books = vectorcodes.compress(_table(spark, sf_dir, "embeddings"))
+    return coded.select(
+        F.col("id").alias("vec_id"),
+        F.lower(F.hex("code")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(books.digest()).alias("codebooks_sha256"),
+    )
+
+
 REGISTRY: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_warc, op2_simhash, op3_mixing, op4_html, op5_bpe, op6_quality, op7_sharding,
         op8_secrets, op9_topk, op10_tokens, op11_negatives,
+        op12_codes,
     )
 }
 
@@ -123,6 +136,29 @@ _BASE32 = " || ".join(
     for k in range(32)
 )
 
+def _assigned(books: str) -> str:
+    """Each part's nearest entry and its distance, as distance * 64 + entry."""
+    return f"""(
+        SELECT vec_id, part, min(distance * 64 + entry) AS best FROM (
+            SELECT p.vec_id, p.part, c.entry, CAST(sum((p.v - c.v) * (p.v - c.v)) AS BIGINT) AS distance
+            FROM p JOIN {books} c ON p.part = c.part AND p.pos = c.pos
+            GROUP BY p.vec_id, p.part, c.entry
+        ) GROUP BY vec_id, part
+    )"""
+
+
+def _means(books: str, assigned: str) -> str:
+    """The entries replaced by the floor of their parts' mean."""
+    return f"""(
+        SELECT c.part, c.entry, c.pos, coalesce(m.v, c.v) AS v
+        FROM {books} c LEFT JOIN (
+            SELECT a.part, a.best % 64 AS entry, p.pos, CAST(floor(sum(p.v) / count(*)) AS BIGINT) AS v
+            FROM {assigned} a JOIN p ON a.vec_id = p.vec_id AND a.part = p.part
+            GROUP BY a.part, a.best % 64, p.pos
+        ) m ON c.part = m.part AND c.entry = m.entry AND c.pos = m.pos
+    )"""
+
+
 ORACLE: dict[str, str] = {
     "op1_warc": f"""
         WITH p AS (
@@ -191,4 +227,32 @@ ORACLE: dict[str, str] = {
             negative_score
         FROM r WHERE rank <= 3
     """,
+    "op12_codes": f"""
+        WITH u AS (
+            SELECT vec_id, generate_subscripts(embedding, 1) - 1 AS d, unnest(embedding) AS x,
+                len(embedding) // 16 AS width
+            FROM embeddings WHERE embedding IS NOT NULL
+        ), p AS MATERIALIZED (
+            SELECT vec_id, d // width AS part, d % width AS pos,
+                CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) AS v
+            FROM u
+            WHERE vec_id NOT IN (SELECT vec_id FROM u WHERE x IS NULL OR NOT isfinite(x))
+        ), first AS (
+            SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry
+            FROM (SELECT DISTINCT vec_id FROM p) ORDER BY vec_id LIMIT 64
+        ), c0 AS MATERIALIZED (SELECT part, entry, pos, v FROM p JOIN first USING (vec_id)),
+        a0 AS MATERIALIZED {_assigned("c0")}, c1 AS MATERIALIZED {_means("c0", "a0")},
+        a1 AS MATERIALIZED {_assigned("c1")}, c2 AS MATERIALIZED {_means("c1", "a1")},
+        a2 AS MATERIALIZED {_assigned("c2")},
+        coded AS (
+            SELECT vec_id, string_agg(printf('%02x', best % 64), '' ORDER BY part) AS code,
+                CAST(sum(best // 64) AS BIGINT) AS error
+            FROM a2 GROUP BY vec_id
+        )
+        SELECT vec_id, code, error,
+            CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+            (SELECT sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY part, entry, pos)) FROM c2)
+                AS codebooks_sha256
+        FROM coded JOIN embeddings USING (vec_id)
+    """,
 }
