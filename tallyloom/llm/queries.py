@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, crf, mixing, negatives, quality, secrets, shards, simhash, tokenfiles, topk, vectorcodes, warc
+from . import (
+    bpe,
+    crf,
+    huffman,
+    mixing,
+    negatives,
+    quality,
+    secrets,
+    shards,
+    simhash,
+    tokenfiles,
+    topk,
+    vectorcodes,
+    warc,
+)
 from .shared import kept, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +30,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 RANKS = "byte_bpe_50k.tiktoken"
 #: Free in the vocabulary: ends a document in a token file.
 END = 50256
+#: The tokenizer of the coded token files, and the id that follows each document there.
+TOKENIZER = "byte_bpe_50k.json"
+END_ID = 2
 N_SHARDS = 40
 NEAR = {"shingle": 3, "max_bits": 3}
 
@@ -120,12 +137,22 @@ def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, size and checksum of every document's ids, read back from files of Huffman codes."""
+    path = shared_folder(spark, "huffman")
+    with open(public_tokenizers.path(TOKENIZER), encoding="utf-8") as f:
+        huffman.write(_table(spark, sf_dir, "documents"), path, f.read(), END_ID)
+    return huffman.read(spark, path).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
 REGISTRY: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_warc, op2_simhash, op3_mixing, op4_html, op5_bpe, op6_quality, op7_sharding,
         op8_secrets, op9_topk, op10_tokens, op11_negatives,
-        op12_codes,
+        op12_codes, op13_huffman,
     )
 }
 

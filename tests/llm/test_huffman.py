@@ -1,0 +1,256 @@
+"""Token files in Huffman codes: pieces, code lengths, blocks, and whole round trips."""
+
+import heapq
+import itertools
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from conftest import SF_DIR
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from tallyloom.llm import huffman, queries
+from tallyloom.llm.pieces import Pieces
+
+JSON = open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read()
+LIBRARY = Tokenizer.from_str(JSON)
+PIECES = Pieces(JSON)
+
+
+def whole(text):
+    return LIBRARY.encode(text or "", add_special_tokens=False).ids
+
+
+def same(texts, pieces=PIECES):
+    ids, n = pieces.encode(texts)
+    want = [whole(t) for t in texts]
+    assert n.tolist() == [len(x) for x in want]
+    assert ids.tolist() == [i for x in want for i in x]
+
+
+# --- pieces ----------------------------------------------------------------------------------
+
+ODD = [
+    "", " ", "  ", "\n", " \n ", "a  b", "a   b", "a \n b", "\n\n b", "a\tb", "a\t b", " a", "a ", "it's",
+    "'s", "''s", "'sa 'll", "x'1", "'\n", "don't!'ve", "a'\t's", "3rd 4", "　 b", "　  b", "a  b",
+    "a  b", " x", "   x", "é a", "aé b", "a é", "漢 字", "a\u0085 b", "\x1c a", "\x00a \x00",
+    "a\x00", "<|endoftext|>", "a <|endoftext|> b", "😀 😀a", "x" * 40, " " * 40, "1" * 17, "a\r\nb", "  a",
+    "a  ", "é é", "\x0b\x0c a", "abcdefg", "abcdefgh", "abcdefghijklmno", "abcdefghijklmnop",
+]
+
+
+def test_odd_texts():
+    same(ODD)
+    for text in ODD:
+        same([text])
+    same([])
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.text(st.sampled_from("ab'sl ,.1\n\t\r é漢　  \u0085😀\x1c\x00"), max_size=30), max_size=4))
+def test_any_texts(texts):
+    same(texts)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(max_size=40), max_size=4))
+def test_texts_of_any_characters(texts):
+    same(texts)
+
+
+def test_documents_in_portions_and_with_a_full_table(monkeypatch):
+    import duckdb
+
+    texts = [r[0] or "" for r in duckdb.sql(f"SELECT text FROM '{SF_DIR}/documents.parquet'").fetchall()]
+    pieces = Pieces(JSON)
+    monkeypatch.setattr("tallyloom.llm.pieces.KEPT", 3000)
+    for low in range(0, len(texts), 150):
+        same(texts[low : low + 150], pieces)
+
+
+def test_other_tokenizers_are_left_to_the_library():
+    other = open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8").read()
+    pieces, library = Pieces(other), Tokenizer.from_str(other)
+    assert not pieces.in_pieces and PIECES.in_pieces
+    texts = ["Hello there", "", "A  B\nc"]
+    ids, n = pieces.encode(texts)
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert ids.tolist() == sum(want, []) and n.tolist() == list(map(len, want))
+
+
+# --- code --------------------------------------------------------------------------------------
+
+
+def cost_without_limit(counts):
+    heap = [c for c in counts if c]
+    heapq.heapify(heap)
+    cost = 0
+    while len(heap) > 1:
+        both = heapq.heappop(heap) + heapq.heappop(heap)
+        cost += both
+        heapq.heappush(heap, both)
+    return cost
+
+
+def test_lengths_are_huffmans_where_the_limit_is_wide():
+    r = np.random.default_rng(0)
+    for n in (2, 3, 10, 700):
+        counts = (r.pareto(1, n) * 10).astype(np.int64)
+        counts[:2] += 1
+        lengths = huffman.code_lengths(counts, 24).astype(np.int64)
+        assert (lengths > 0).tolist() == (counts > 0).tolist()
+        assert (counts * lengths).sum() == cost_without_limit(counts.tolist())
+
+
+def test_lengths_are_the_best_under_the_limit():
+    r = np.random.default_rng(1)
+    for longest in (2, 3, 4):
+        for _ in range(30):
+            n = int(r.integers(2, min(6, 1 << longest) + 1))
+            counts = r.integers(1, 200, n) ** 2
+            lengths = huffman.code_lengths(counts, longest).astype(np.int64)
+            assert lengths.max() <= longest and (0.5**lengths).sum() <= 1
+            best = min(
+                int((counts * np.array(some)).sum())
+                for some in itertools.product(range(1, longest + 1), repeat=n)
+                if sum(0.5**x for x in some) <= 1
+            )
+            assert (counts * lengths).sum() == best
+
+
+def test_too_many_ids_for_the_limit():
+    assert set(huffman.code_lengths(np.ones(8, np.int64), 3)) == {3}
+    with pytest.raises(ValueError, match="more than 3 bits"):
+        huffman.code_lengths(np.ones(9, np.int64), 3)
+
+
+def test_codes_are_canonical_and_prefix_free():
+    lengths = huffman.code_lengths(np.array([50, 0, 7, 7, 1, 1, 30]), 5)
+    code = huffman.Code(lengths)
+    used = sorted((int(x), i) for i, x in enumerate(lengths) if x)
+    words = [format(int(code.codes[i]), f"0{x}b") for x, i in used]
+    assert words == sorted(words)
+    assert not any(b.startswith(a) for a, b in itertools.permutations(words, 2))
+    with pytest.raises(ValueError, match="no prefix code"):
+        huffman.Code(np.array([1, 1, 1]))
+
+
+@pytest.mark.parametrize("n", [1, 2, 511, 512, 513, 5000])
+@pytest.mark.parametrize("symbols", [1, 2, 300, 40_000])
+def test_blocks_are_decoded_from_their_checkpoints(n, symbols):
+    r = np.random.default_rng(n + symbols)
+    ids = np.minimum(r.geometric(min(0.9, 30 / symbols), n) - 1, symbols - 1)
+    code = huffman.Code(huffman.code_lengths(np.bincount(ids, minlength=symbols)))
+    data, begin = code.pack(ids)
+    bits = "".join(format(int(code.codes[i]), f"0{code.lengths[i]}b") for i in ids.tolist())
+    assert data == int(bits.ljust(8 * len(data), "0"), 2).to_bytes(len(data), "big")
+    assert code.unpack(data, n, begin, huffman.BLOCK).tolist() == ids.tolist()
+    for i in range(len(begin)):  # one block by itself, from its checkpoint to the next
+        a, b = int(begin[i]), int(begin[i + 1]) if i + 1 < len(begin) else len(bits)
+        alone = bits[a:b]
+        own = int(alone.ljust(-(-len(alone) // 8) * 8, "0"), 2).to_bytes(-(-len(alone) // 8), "big")
+        want = ids[i * huffman.BLOCK : (i + 1) * huffman.BLOCK]
+        assert code.unpack(own, len(want), np.zeros(1, np.int64), huffman.BLOCK).tolist() == want.tolist()
+
+
+def test_damage_is_found():
+    code = huffman.Code(huffman.code_lengths(np.array([5, 3, 2, 1])))
+    chunk = huffman.Chunk(pa.array([4, None], pa.int64()), np.array([3, 2]), 17, np.array([0, 1, 2, 3, 2]))
+    saved = chunk.to_bytes(code) + b"\n"
+    first, second = huffman.Chunk.all_of(saved + saved, code)
+    assert first.doc_ids.to_pylist() == second.doc_ids.to_pylist() == [4, None]
+    assert first.start == 17 and first.ids.tolist() == [0, 1, 2, 3, 2] and first.n_tokens.tolist() == [3, 2]
+    for at in (0, 9, len(saved) - 2):
+        bad = bytearray(saved)
+        bad[at] ^= 1
+        with pytest.raises((ValueError, MemoryError)):
+            list(huffman.Chunk.all_of(bytes(bad), code))
+    with pytest.raises(ValueError, match="without a code"):
+        huffman.Code(np.array([1, 1, 0])).pack(np.array([0, 2]))
+
+
+# --- files -------------------------------------------------------------------------------------
+
+
+def brute(rows, end):
+    """(doc_id, start, n_tokens, crc32) in plain loops; equal ids in any order of their texts."""
+    found, start = [], 0
+    for doc_id, text in rows:
+        ids = [*whole(text), end]
+        found.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    return found
+
+
+def read_back(spark, df, path, end=2):
+    huffman.write(df, path, JSON, end)
+    got = huffman.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids")).collect()
+    return sorted((tuple(r) for r in got), key=lambda r: r[1])
+
+
+def test_query_equals_brute_force(spark):
+    import duckdb
+
+    rows = duckdb.sql(f"SELECT doc_id, text FROM '{SF_DIR}/documents.parquet' ORDER BY 1").fetchall()
+    got = queries.REGISTRY["op13_huffman"](spark, SF_DIR).collect()
+    assert sorted(map(tuple, got)) == brute(rows, queries.END_ID)
+
+
+def test_odd_documents(spark, tmp_path, monkeypatch):
+    texts = [None, "", "#", "##", "a # b", "é 漢字 😀", "long word " * 60_000, "x" * 300_000, "<|endoftext|>"]
+    rows = [(10 * i - 20, t) for i, t in enumerate(texts)] + [(1000 + i, "same text") for i in range(200)]
+    shuffled = [rows[i] for i in np.random.default_rng(0).permutation(len(rows))]
+    df = spark.createDataFrame(shuffled, "doc_id long, text string")
+    clash = "id hash source part chunk n_ids start doc_ids n_tokens ids piece bytes".split()
+    df = df.select("*", *[F.lit(n).alias(n) for n in clash]).repartition(7)
+    assert read_back(spark, df, f"{tmp_path}/a") == brute(sorted(rows), 2)
+
+
+def test_repeated_and_null_ids(spark, tmp_path):
+    rows = [(1, "a b"), (1, "a b"), (1, "c"), (None, "d e f"), (None, None), (0, "g")] + [(5, "hot")] * 300
+    df = spark.createDataFrame(rows, "doc_id int, text string").repartition(5)
+    got = read_back(spark, df, f"{tmp_path}/a")
+    assert [r[0] for r in got] == sorted((r[0] for r in rows), key=lambda x: (x is None, x or 0))
+    want = sorted((r[0] is None, r[0] or 0, r[2], r[3]) for r in brute(rows, 2))
+    assert sorted((r[0] is None, r[0] or 0, r[2], r[3]) for r in got) == want
+    ends = np.cumsum([r[2] for r in got])
+    assert [r[1] for r in got] == [0, *ends[:-1].tolist()]
+
+
+def test_files_ascend(spark, tmp_path, monkeypatch):
+    rows = [(i, f"text number {i} " * (1 + i % 50)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    monkeypatch.setattr(huffman, "CHUNK", 4000)
+    monkeypatch.setattr(huffman, "FILE_CHUNKS", 3)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        assert read_back(spark, df, f"{tmp_path}/a") == brute(rows, 2)
+    finally:
+        spark.conf.unset(key)
+    saved = [p.read_bytes() for p in sorted((tmp_path / "a" / "chunks").rglob("part-*.txt"))]
+    (kept,) = (x for p in (tmp_path / "a" / "code").rglob("part-*.txt") if (x := p.read_bytes()))
+    head = huffman.CODE_HEAD
+    n = head.unpack_from(kept)[2]
+    code = huffman.Code(np.frombuffer(kept[head.size : head.size + n], np.uint8))
+    chunks = [[c.start for c in huffman.Chunk.all_of(data, code)] for data in saved]
+    assert len(saved) > 20 and max(map(len, chunks)) == 3
+    assert sum(chunks, []) == sorted(sum(chunks, []))
+
+
+@pytest.mark.parametrize("rows", [[], [(7, None)], [(7, ""), (8, "")]])
+def test_little_or_nothing(spark, tmp_path, rows):
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert read_back(spark, df, f"{tmp_path}/a") == brute(rows, 2)
+
+
+def test_staged_chunks_are_removed(spark, tmp_path, monkeypatch):
+    paths = []
+    monkeypatch.setattr(huffman, "shared_folder", lambda s, n: paths.append(f"{tmp_path}/staged") or paths[0])
+    read_back(spark, spark.createDataFrame([(1, "a")], "doc_id long, text string"), f"{tmp_path}/a")
+    assert paths and not __import__("os").path.exists(paths[0])
