@@ -50,7 +50,7 @@ CHUNK = 1 << 18
 BLOCK = 512
 FILE_CHUNKS = 128
 #: Characters that are encoded together.
-PORTION = 8 << 20
+PORTION = 4 << 20
 MAGIC = b"TLH1"
 HEAD = struct.Struct("<4sQQQIQI")
 CODE_HEAD = struct.Struct("<4sIIB")

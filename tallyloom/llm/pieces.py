@@ -21,6 +21,7 @@ import json
 import os
 import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -94,12 +95,37 @@ def cuts(data: np.ndarray, edges: np.ndarray) -> np.ndarray:
 
 
 class Known:
-    """Ids of known stretches of one class, by key."""
+    """Numbers by key, sorted by key."""
 
     def __init__(self):
         self.keys = np.zeros(0, np.uint64)
         self.at = np.zeros(0, np.int64)
 
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of sorted keys, and which of them are new."""
+        place = np.searchsorted(self.keys, keys)
+        place[place == len(self.keys)] = 0
+        if not len(self.keys):
+            return place, np.ones(len(keys), bool)
+        return self.at[place], self.keys[place] != keys
+
+    def add(self, keys: np.ndarray, at: np.ndarray) -> None:
+        place = np.searchsorted(self.keys, keys)
+        self.keys = np.insert(self.keys, place, keys)
+        self.at = np.insert(self.at, place, at)
+
+
+def _shown() -> dict[int, int]:
+    """The character that stands for each byte in the vocabulary: itself if it is visible, else from U+0100."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in seen]
+    return {b: b for b in seen} | {b: 256 + i for i, b in enumerate(rest)}
+
+
+SHOWN = _shown()
+#: Letters below this one are letters in every version of Unicode.
+SETTLED = "\u0250"
+
 
 def cuts_as_here(config: dict) -> bool:
     """Whether a tokenizer cuts texts by the pattern that ``cuts`` knows, and does nothing else to them."""
@@ -136,7 +162,7 @@ class Pieces:
     def forget(self) -> None:
         # Ids of stretch i are flat[begin[i] : begin[i + 1]].
         self.flat, self.begin = np.zeros(0, np.uint32), np.zeros(1, np.int64)
-        self.short, self.middle = Known(), [Known(), np.zeros(0, np.uint64), np.zeros(0, np.uint64)]
+        self.short, self.middle, self.firsts, self.seconds = Known(), Known(), Known(), Known()
         self.long: dict[bytes, int] = {}
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
@@ -147,39 +173,41 @@ class Pieces:
     def learn(self, stretches: list[bytes]) -> np.ndarray:
         """Encode new stretches; their numbers."""
         texts = [s.decode("utf-8", "surrogatepass") for s in stretches]
-        ids: list[np.ndarray | None] = [None] * len(texts)
+        ids: list = [None] * len(texts)
+        plain = []
+        for i, t in enumerate(texts):
+            word = t.removeprefix(" ")
+            if word.isalpha() and max(word) < SETTLED:
+                # Letters alone are one piece: its bytes go to the library's merges as they are.
+                shown = stretches[i].decode("latin-1").translate(SHOWN)
+                ids[i] = [x.id for x in self.library.model.tokenize(shown)]
+            elif self.line is not None and PLAIN(t):
+                plain.append(i)
         # Stretches without white space but a leading blank are cut off each other by line ends.
-        plain = [i for i, t in enumerate(texts) if PLAIN(t)] if self.line is not None else []
         groups = [plain[a : a + TOGETHER] for a in range(0, len(plain), TOGETHER)]
         lines = ["".join([texts[i] + "\n" for i in group]) for group in groups]
         for group, found in zip(groups, self.whole(lines)):
             ends = np.flatnonzero(found == self.line)
             if len(ends) == len(group):
                 for i, a, b in zip(group, np.append(0, ends[:-1] + 1).tolist(), ends.tolist()):
-                    ids[i] = found[a:b]
+                    ids[i] = found[a:b].tolist()
         rest = [i for i, x in enumerate(ids) if x is None]
         for i, x in zip(rest, self.whole([texts[i] for i in rest])):
-            ids[i] = x
+            ids[i] = x.tolist()
         first = len(self.begin) - 1
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(sizes)])
-        self.flat = np.concatenate([self.flat, *ids])
+        new = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
+        self.flat = np.concatenate([self.flat, new])
         return np.arange(first, first + len(ids))
 
     def _numbers(self, known: Known, keys: np.ndarray, cut) -> np.ndarray:
         """Numbers of the stretches with these keys; ``cut`` gives the bytes of some of them."""
         distinct, first, of = np.unique(keys, return_index=True, return_inverse=True)
-        at = np.searchsorted(known.keys, distinct)
-        at[at == len(known.keys)] = 0
-        new = known.keys[at] != distinct if len(known.keys) else np.ones(len(distinct), bool)
-        number = np.empty(len(distinct), np.int64)
-        number[~new] = known.at[at[~new]]
+        number, new = known.find(distinct)
         if new.any():
             number[new] = self.learn(cut(first[new]))
-            keys = np.concatenate([known.keys, distinct[new]])
-            order = np.argsort(keys, kind="stable")
-            known.at = np.concatenate([known.at, number[new]])[order]
-            known.keys = keys[order]
+            known.add(distinct[new], number[new])
         return number[of]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -223,11 +251,8 @@ class Pieces:
         m = length[middle] - 8
         a = words[begin[middle]]
         b = (words[begin[middle] + 8] & low[m]) | (m.astype(np.uint64) << np.uint64(56))
-        known, firsts, seconds = self.middle
-        firsts, a = self._joint(firsts, a)
-        seconds, b = self._joint(seconds, b)
-        self.middle = [known, firsts, seconds]
-        number[middle] = self._numbers(known, (a << 32 | b).astype(np.uint64), stretches(middle))
+        both = (_places(self.firsts, a) << 32 | _places(self.seconds, b)).astype(np.uint64)
+        number[middle] = self._numbers(self.middle, both, stretches(middle))
 
         long = np.flatnonzero(length >= 16)
         if len(long):
@@ -242,17 +267,14 @@ class Pieces:
         upto = np.append(0, stop)[np.searchsorted(begin, edges)]
         return ids, np.diff(upto)
 
-    @staticmethod
-    def _joint(known: np.ndarray, halves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The known halves with new ones put after them, and the place of each half among them."""
-        distinct, of = np.unique(halves, return_inverse=True)
-        order = np.argsort(known, kind="stable")
-        at = np.searchsorted(known, distinct, sorter=order)
-        at[at == len(known)] = 0
-        place = order[at] if len(known) else np.zeros(len(distinct), np.int64)
-        new = known[place] != distinct if len(known) else np.ones(len(distinct), bool)
-        place[new] = len(known) + np.arange(new.sum())
-        return np.concatenate([known, distinct[new]]), place[of]
+
+def _places(known: Known, keys: np.ndarray) -> np.ndarray:
+    """A number for each distinct key, in the order in which they are first seen."""
+    distinct, of = np.unique(keys, return_inverse=True)
+    place, new = known.find(distinct)
+    place[new] = len(known.keys) + np.arange(new.sum())
+    known.add(distinct[new], place[new])
+    return place[of]
 
 
 @lru_cache(maxsize=2)
