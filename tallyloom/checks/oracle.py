@@ -275,4 +275,28 @@ ORACLE: dict[str, str] = {
     "customer_kpi_full": f"{WITH_ACTIVE} {KPI_ACTIVE} ORDER BY {KEY}",
     "customer_kpi_calendar": f"{WITH_CALENDAR} {KPI_CALENDAR}",
     "customer_kpi_incremental": f"{WITH_CALENDAR} {KPI_CALENDAR}",
+    # kept state
+    **{
+        name: f"{WITH_CALENDAR} {KPI_CALENDAR}"
+        for name in (
+            "kpi_refresh_kept_activity",
+            "kpi_refresh_late_orders",
+            "rebuild_by_switch",
+            "upsert_in_buckets",
+        )
+    },
+    "customer_point_read": f"""{WITH_CALENDAR}
+        SELECT * FROM ({KPI_CALENDAR}) WHERE customer_id = 7""",
+    "last_active_months": f"""{WITH_MONTHS}
+        SELECT customer_id, MAX(order_month) AS order_month FROM mon
+        WHERE order_month < DATE_TRUNC('month', TIMESTAMP '{SPLIT}') GROUP BY customer_id""",
+    "source_month_digests": f"""{WITH_ORDERS}
+        SELECT CAST(DATE_TRUNC('month', order_date) AS DATE) AS order_month, COUNT(*) AS n_rows
+        FROM ord WHERE order_status = 'completed' GROUP BY 1""",
+    "backfill_with_ledger": f"""{WITH_DAYS}, s AS ({stats('uniq', ', date')})
+        SELECT {DAILY} FROM s
+        WHERE date BETWEEN DATE '{BACKFILL_START}' AND DATE '{BACKFILL_END}'""",
+    "noted_days": f"""{WITH_DAYS}, s AS ({stats('uniq', ', date')})
+        SELECT CAST(day AS DATE) AS date, day IN (SELECT date FROM s) AS has_rows
+        FROM GENERATE_SERIES(DATE '{BACKFILL_START}', DATE '{BACKFILL_END}', INTERVAL 1 DAY) t(day)""",
 }

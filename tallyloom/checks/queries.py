@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,11 +24,16 @@ from ..plans import (
     run_daily_backfill,
 )
 from ..plans import customer_kpi_incremental as refreshed_kpi
+from ..functions import at_midnight
 from ..plans.daily import LAYOUT_AS_IS, LAYOUT_DEDUPED, ONE_DAY
+from ..plans.last_active import last_active_before
+from ..plans.late_orders import month_digests
 from .bindings import BACKFILL_END, BACKFILL_START, RUN_DATE, SPLIT, orders, sales
 
 Query = Callable[[SparkSession, str], DataFrame]
 KEYS = ("customer_id", "order_month")
+# An earlier stop of the queries that refresh more than once.
+FIRST_SPLIT = dt.date(1996, 3, 10)
 REGISTRY: dict[str, Query] = {}
 
 
@@ -51,6 +58,10 @@ def _with_scratch(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def before(df: DataFrame, day: dt.date) -> DataFrame:
+    return df.where(F.col("order_date") < at_midnight(day))
+
+
 def query(f: Query) -> Query:
     REGISTRY[f.__name__] = lambda spark, sf_dir: _plain(f(_with_scratch(spark), sf_dir))
     return f
@@ -580,3 +591,106 @@ def customer_kpi_incremental(spark, d):
     target = _stored_kpi(spark, d)
     run_customer_kpi(spark, orders(spark, d), target)
     return src.read_state(spark, target)
+
+
+# --- kept state ------------------------------------------------------------------------
+
+
+@query
+def kpi_refresh_kept_activity(spark, d):
+    """Three refreshes over a kept table of each customer's last active month."""
+    target = src.kpi_target(src.scratch_dir(spark))
+    kept = src.last_active_target(src.scratch_dir(spark))
+    for day in (FIRST_SPLIT, SPLIT.date(), SPLIT.date()):
+        run_customer_kpi(spark, before(orders(spark, d), day), target, last_active=kept)
+    run_customer_kpi(spark, orders(spark, d), target, last_active=kept)
+    return src.read_state(spark, target)
+
+
+@query
+def last_active_months(spark, d):
+    """What is kept for a refresh that begins at the split: the last months before its window."""
+    kept = src.last_active_target(src.scratch_dir(spark))
+    state = customer_kpi(orders(spark, d), "calendar")
+    last_active_before(spark, state, kept, FIRST_SPLIT.replace(day=1))
+    return last_active_before(spark, state, kept, SPLIT.date().replace(day=1))
+
+
+@query
+def source_month_digests(spark, d):
+    """Finished orders of each source month, as the digests count them."""
+    return month_digests(orders(spark, d)).select("order_month", "n_rows")
+
+
+@query
+def kpi_refresh_late_orders(spark, d):
+    """Built without some orders of all months, then refreshed with them by the digests."""
+    target = src.kpi_target(src.scratch_dir(spark))
+    digests = src.digests_target(src.scratch_dir(spark))
+    everything = orders(spark, d)
+    late = F.col("order_id") % 7 == 0
+    early = before(everything, SPLIT.date()).where(~late)
+    run_customer_kpi(spark, early, target, digests=digests)
+    run_customer_kpi(spark, everything, target, digests=digests)
+    return src.read_state(spark, target)
+
+
+def _in_catalog(spark, d, target):
+    """The orders' KPI rows in a catalog table of the target's kind, which the caller drops."""
+    op.materialize(customer_kpi(before(orders(spark, d), SPLIT.date()), "calendar"), target)
+
+
+def _dropped(spark, target, rows):
+    """The rows of a catalog table that goes with the query."""
+    out = src.stage(rows, src.scratch_dir(spark))
+    op.drop_target(spark, target)
+    return out
+
+
+@query
+def rebuild_by_switch(spark, d):
+    """A catalog table built before the split, and switched to a rebuild of all orders."""
+    target = src.kpi_target(f"rebuilt_{uuid.uuid4().hex}")
+    _in_catalog(spark, d, target)
+    op.materialize(customer_kpi(orders(spark, d), "calendar"), target)
+    return _dropped(spark, target, src.read_state(spark, target))
+
+
+@query
+def upsert_in_buckets(spark, d):
+    """A table bucketed by customer, refreshed where its rows lie."""
+    target = src.kpi_target(f"bucketed_{uuid.uuid4().hex}", buckets=8)
+    _in_catalog(spark, d, target)
+    run_customer_kpi(spark, orders(spark, d), target)
+    return _dropped(spark, target, src.read_state(spark, target))
+
+
+@query
+def customer_point_read(spark, d):
+    """One customer's rows of a bucketed table: one bucket of each month is read."""
+    target = src.kpi_target(f"bucketed_{uuid.uuid4().hex}", buckets=8)
+    op.materialize(customer_kpi(orders(spark, d), "calendar"), target)
+    return _dropped(spark, target, src.read_state(spark, target).where("customer_id = 7"))
+
+
+@query
+def backfill_with_ledger(spark, d):
+    """Backfills that note their run dates; the second finds only the new end missed."""
+    target = src.daily_target(src.scratch_dir(spark))
+    ledger = src.ledger_target(src.scratch_dir(spark))
+    for end in (RUN_DATE, BACKFILL_END):
+        run_daily_backfill(
+            spark, sales(spark, d), target, BACKFILL_START, end, only_missed=True, ledger=ledger
+        )
+    return src.read_state(spark, target)
+
+
+@query
+def noted_days(spark, d):
+    """Each run date of a backfill, and whether it has rows."""
+    target = src.daily_target(src.scratch_dir(spark))
+    ledger = src.ledger_target(src.scratch_dir(spark))
+    run_daily_backfill(
+        spark, sales(spark, d), target, BACKFILL_START, BACKFILL_END, ledger=ledger
+    )
+    return src.read_state(spark, ledger).select("date", "has_rows")

@@ -21,7 +21,14 @@ from .filters import (
     with_run_date,
 )
 from .joins import left_join, lookup
-from .sinks import append, materialize, upsert
+from .sinks import (
+    append,
+    drop_partition,
+    drop_target,
+    materialize,
+    replace_partitions,
+    upsert,
+)
 from .sorting import sort_daily, sort_kpi
 from .windows import lag_metric, months_back, previous_active, previous_calendar
 
@@ -32,6 +39,8 @@ __all__ = [
     "completed",
     "daily_stats",
     "dedupe",
+    "drop_partition",
+    "drop_target",
     "guard_nonempty",
     "high_water_mark",
     "in_range",
@@ -46,6 +55,7 @@ __all__ = [
     "on_day",
     "previous_active",
     "previous_calendar",
+    "replace_partitions",
     "require",
     "sales_between",
     "since_high_water_mark",

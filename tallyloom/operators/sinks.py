@@ -1,13 +1,15 @@
 """Writers. These are the only operators that run a job.
 
 Replacing partitions is one commit per write but not atomic across partitions, so a target
-must have one writer at a time.
+must have one writer at a time. A rebuilt catalog table is switched at once.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from dataclasses import replace
 from functools import reduce
 from operator import and_
 from threading import RLock
@@ -15,11 +17,24 @@ from threading import RLock
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.readers import remove, scratch_dir, stage
-from ..sources.targets import NULL_PART, Target, exists, find_state
+from ..sources.readers import move, remove, scratch_dir, stage
+from ..sources.targets import (
+    NULL_PART,
+    Target,
+    exists,
+    find_state,
+    folders,
+    stored_part_names,
+    table_detail,
+)
 from .filters import require
 
-_OVERWRITE = RLock()
+_SETTING = RLock()
+
+
+def _by_bucket(df: DataFrame, target: Target) -> DataFrame:
+    """One task for each bucket, hence one file for each bucket of a partition."""
+    return df.repartition(target.buckets, target.bucket_by)
 
 
 def _arranged(df: DataFrame, target: Target) -> DataFrame:
@@ -33,90 +48,197 @@ def _arranged(df: DataFrame, target: Target) -> DataFrame:
     """
     part = F.col(target.partition_by)
     rest = [k for k in target.keys if k != target.partition_by]
-    gathered = df.select(*target.stored_columns).hint("rebalance", part)
+    rows = df.select(*target.stored_columns)
+    gathered = _by_bucket(rows, target) if target.buckets else rows.hint("rebalance", part)
     return gathered.sortWithinPartitions(part, *rest)
 
 
 def _in_table_order(df: DataFrame, target: Target) -> DataFrame:
     """Inserts go by position, and an existing table may order its columns otherwise."""
-    columns = df.sparkSession.table(target.location).columns
-    return _arranged(df, target).select(*columns)
+    return df.select(*df.sparkSession.table(target.location).columns)
+
+
+def _require_buckets(spark: SparkSession, target: Target) -> None:
+    if not target.is_path and table_detail(spark, target).buckets != target.buckets:
+        raise ValueError(f"{target.location} has other buckets than its target says")
+
+
+def _create(df: DataFrame, target: Target, name: str, folder: str | None = None) -> None:
+    """A new catalog table, whose partitions Spark finds in its folder, so that it can be switched."""
+    writer = _arranged(df, target).write.partitionBy(target.partition_by).format("parquet")
+    if target.buckets:
+        writer = writer.bucketBy(target.buckets, target.bucket_by).sortBy(target.bucket_by)
+    if folder is not None:
+        writer = writer.option("path", folder)
+    with _settings(df.sparkSession, {"spark.sql.hive.manageFilesourcePartitions": "false"}):
+        writer.saveAsTable(name)
 
 
 def append(df: DataFrame, target: Target) -> None:
     """Add the rows. Nothing is compared with the stored rows: a second run doubles them."""
     spark = df.sparkSession
-    writer = _arranged(df, target).write.mode("append")
     if target.is_path:
+        writer = _arranged(df, target).write.mode("append")
         writer.partitionBy(target.partition_by).parquet(target.location)
     elif exists(spark, target):
-        _in_table_order(df, target).write.insertInto(target.location)
+        _require_buckets(spark, target)
+        _in_table_order(_arranged(df, target), target).write.insertInto(target.location)
     else:
-        writer.partitionBy(target.partition_by).format("parquet").saveAsTable(target.location)
+        _create(df, target, target.location)
 
 
 @contextmanager
-def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    """For catalog tables Spark takes the mode from the session, not from the writer.
+def _settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """For catalog tables Spark takes these from the session, not from the writer.
 
-    Writers of this module take turns. Other code that overwrites a partitioned table meanwhile
+    Writers of this module take turns. Other code that writes such tables meanwhile
     needs a session of its own.
     """
-    key = "spark.sql.sources.partitionOverwriteMode"
-    with _OVERWRITE:
-        before = spark.conf.get(key)
-        spark.conf.set(key, "dynamic")
+    with _SETTING:
+        before = {key: spark.conf.get(key) for key in settings}
         try:
+            for key, value in settings.items():
+                spark.conf.set(key, value)
             yield
         finally:
-            spark.conf.set(key, before)
+            for key, value in before.items():
+                spark.conf.set(key, value)
 
 
-def _replace_partitions(df: DataFrame, target: Target) -> None:
+def _replace_partitions(df: DataFrame, target: Target, arranged: bool = False) -> None:
+    """Put the rows in the place of the partitions they fall into."""
+    rows = df if arranged else _arranged(df, target)
     if target.is_path:
-        writer = _arranged(df, target).write.mode("overwrite")
-        writer = writer.option("partitionOverwriteMode", "dynamic")
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(target.partition_by).parquet(target.location)
     else:
-        with _dynamic_overwrite(df.sparkSession):
-            _in_table_order(df, target).write.insertInto(target.location, overwrite=True)
-
-
-def _parts(df: DataFrame, target: Target) -> set:
-    """Values of the partition column; as many as dates or months."""
-    return {r[0] for r in df.select(target.partition_by).distinct().collect()}
+        settings = {
+            "spark.sql.sources.partitionOverwriteMode": "dynamic",
+            # Buckets by customer serve a join by customer and date.
+            "spark.sql.requireAllClusterKeysForCoPartition": "false",
+        }
+        with _settings(df.sparkSession, settings):
+            _in_table_order(rows, target).write.insertInto(target.location, overwrite=True)
+
+
+def replace_partitions(df: DataFrame, target: Target) -> None:
+    """Put the rows in the place of the partitions they fall into, in one write."""
+    if exists(df.sparkSession, target):
+        _replace_partitions(df, target)
+    else:
+        append(df, target)
 
 
-def _drop_partition(spark: SparkSession, target: Target, value: object) -> None:
+def drop_partition(spark: SparkSession, target: Target, value: str) -> None:
+    """``value`` as in the partition's name."""
     name = target.partition_by
-    if target.is_path:
-        folder = NULL_PART if value is None else value
-        remove(spark, f"{target.location.rstrip('/')}/{name}={folder}")
-    else:
-        given = "null" if value is None else f"DATE '{value}'"
-        spark.sql(f"ALTER TABLE {target.location} DROP IF EXISTS PARTITION ({name} = {given})")
+    if not target.is_path:
+        detail = table_detail(spark, target)
+        if detail.lists_partitions:
+            given = "null" if value in ("null", NULL_PART) else f"'{value}'"
+            spark.sql(f"ALTER TABLE {target.location} DROP IF EXISTS PARTITION ({name} = {given})")
+            return
+    folder = target.location if target.is_path else detail.folder
+    remove(spark, f"{folder.rstrip('/')}/{name}={value}")
+    if not target.is_path:
+        spark.catalog.refreshTable(target.location)
 
 
 def materialize(df: DataFrame, target: Target) -> None:
     """Replace the whole target, also partitions that the new rows do not touch.
 
-    The rows are computed into a folder of their own first, then published over the stored
-    partitions, and last the partitions that have no new rows go. A job that fails while
-    computing or publishing leaves the stored rows as they were.
+    The rows are written once, into a folder of their own; a job that fails up to there leaves the stored
+    rows as they were. A catalog table then changes its location to that folder: readers see all old
+    rows or all new ones. What it held before stays until the next rebuild, for those who are reading it.
+
+    At a path there is no such switch: the new partitions are moved over the stored ones, and then
+    partitions without new rows go. So it is with a table whose partitions the catalog lists one by one,
+    made elsewhere; its rows are staged and written again.
     """
     spark = df.sparkSession
-    stored = find_state(spark, target)
-    if stored is None:
+    if find_state(spark, target) is None:
         append(df, target)
-        return
+    elif target.is_path:
+        _publish(df, target)
+    elif table_detail(spark, target).lists_partitions:
+        _overwrite(df, target)
+    else:
+        _require_buckets(spark, target)
+        _switch(df, target)
+
+
+def _versions(folder: str) -> tuple[str, str]:
+    """A table's first folder, and the one beside it that holds what its rebuilds wrote."""
+    parent = folder.rstrip("/").rsplit("/", 1)[0]
+    first = parent.removesuffix("-versions") if parent.endswith("-versions") else folder.rstrip("/")
+    return first, f"{first}-versions"
+
+
+def _switch(df: DataFrame, target: Target) -> None:
+    spark = df.sparkSession
+    old = table_detail(spark, target).folder.rstrip("/")
+    first, versions = _versions(old)
+    new = f"{versions}/{uuid.uuid4().hex}"
+    try:
+        if target.buckets:  # Spark writes buckets for tables only
+            helper = f"{target.location.rstrip('`')}_{uuid.uuid4().hex}"
+            helper += "`" if target.location.endswith("`") else ""
+            _create(df, target, helper, new)
+            spark.sql(f"DROP TABLE {helper}")
+        else:
+            _arranged(df, target).write.partitionBy(target.partition_by).parquet(new)
+        spark.sql(f"ALTER TABLE {target.location} SET LOCATION '{new}'")
+    except BaseException:
+        remove(spark, new)
+        raise
+    kept = {old, new}
+    for folder in [first, *(f"{versions}/{x}" for x in folders(spark, versions))]:
+        if not any(x.endswith(folder.split(":", 1)[-1]) for x in kept):
+            remove(spark, folder)
+
+
+def drop_target(spark: SparkSession, target: Target) -> None:
+    """Remove a target and all that its rebuilds left."""
+    if target.is_path:
+        remove(spark, target.location)
+    elif exists(spark, target):
+        detail = table_detail(spark, target)
+        first, versions = _versions(detail.folder)
+        spark.sql(f"DROP TABLE {target.location}")
+        remove(spark, first)
+        remove(spark, versions)
+
+
+def _publish(df: DataFrame, target: Target) -> None:
+    spark = df.sparkSession
+    base = target.location.rstrip("/")
+    fresh = f"{base}/_rebuild-{uuid.uuid4().hex}"  # readers pass over such names
+    begin = f"{target.partition_by}="
+    try:
+        _arranged(df, target).write.partitionBy(target.partition_by).parquet(fresh)
+        names = {x for x in folders(spark, fresh) if x.startswith(begin)}
+        stored = stored_part_names(spark, target)
+        for name in sorted(names):
+            move(spark, f"{fresh}/{name}", f"{base}/{name}")
+        for value in stored - {x.removeprefix(begin) for x in names}:
+            drop_partition(spark, target, value)
+    finally:
+        remove(spark, fresh)
+
+
+def _overwrite(df: DataFrame, target: Target) -> None:
+    spark = df.sparkSession
     path = scratch_dir(spark)
     try:
         rows = stage(df.select(*target.columns), path)
-        old, new = _parts(stored, target), _parts(rows, target)
-        if new:
+        stored = stored_part_names(spark, target)
+        found = rows.select(target.partition_by).distinct().collect()  # dates or months
+        if found:
             _replace_partitions(rows, target)
-        for value in old - new:
-            _drop_partition(spark, target, value)
+        for value in stored - {"null" if r[0] is None else str(r[0]) for r in found} - {
+            NULL_PART for r in found if r[0] is None
+        }:
+            drop_partition(spark, target, value)
     finally:
         remove(spark, path)
 
@@ -143,6 +265,14 @@ def merge(stored: DataFrame, batch: DataFrame, target: Target) -> DataFrame:
     One full join, in which each side is computed once. An anti-join and a union would
     compute the batch twice, as the two uses need different columns.
     """
+    if target.buckets and target.null_keys:
+        # Buckets serve a plain equality; the few rows with a null key meet apart.
+        known = reduce(and_, [F.col(k).isNotNull() for k in target.keys])
+        plain = replace(target, null_keys=False)
+        rest = replace(target, buckets=None)
+        return merge(stored.where(known), batch.where(known), plain).unionByName(
+            merge(stored.where(~known), batch.where(~known), rest)
+        )
     s = stored.alias("s")
     b = batch.select(*target.columns, F.lit(True).alias("_given")).alias("b")
     pairs = [(F.col(f"s.{k}"), F.col(f"b.{k}")) for k in target.keys]
@@ -178,15 +308,19 @@ def upsert(
     if stored is None:
         append(batch, target)
         return
+    _require_buckets(df.sparkSession, target)
     staged = None
     try:
-        if touching is None:
+        # Rows with and without null keys are two uses of the batch where there are buckets.
+        if touching is None or (target.buckets and target.null_keys):
             staged = scratch_dir(df.sparkSession)
             batch = stage(batch, staged)
-            touching = _touched(batch, target)
+            touching = _touched(batch, target) if touching is None else touching
         # A row outside would replace a partition whose stored rows were not read.
         batch = require(batch, touching, "a row lies outside the partitions named as touched")
-        _replace_partitions(merge(stored.where(touching), batch, target), target)
+        merged = merge(stored.where(touching), batch, target)
+        # A join by buckets leaves each in a task of its own, as the writer wants them.
+        _replace_partitions(merged, target, arranged=bool(target.buckets))
     finally:
         if staged is not None:
             remove(df.sparkSession, staged)

@@ -4,6 +4,7 @@ from .daily import (
     daily_job,
     daily_table,
     missed_run_dates,
+    noted_run_dates,
     run_daily,
     run_daily_backfill,
 )
@@ -19,6 +20,7 @@ __all__ = [
     "daily_table",
     "kpi_columns",
     "missed_run_dates",
+    "noted_run_dates",
     "run_customer_kpi",
     "run_daily",
     "run_daily_backfill",

@@ -17,21 +17,43 @@ from ..operators import (
     previous_calendar,
     upsert,
 )
-from ..sources import Target, find_state, read_orders, require_same_table, stored_parts
+from ..sources import (
+    Target,
+    find_state,
+    read_orders,
+    require_same_table,
+    scratch_dir,
+    stage,
+    stored_parts,
+)
+from ..sources.readers import remove
+from .last_active import forget_last_active, last_active_before
+from .late_orders import (
+    collect_digests,
+    late_months,
+    months_later,
+    note_digests,
+    noted_digests,
+    refresh_with_late_months,
+)
 from .monthly import customer_kpi, kpi_columns
 
 METRICS = ("monthly_orders", "monthly_revenue", "avg_order_value")
 
 
-def _history(state: DataFrame, since: dt.date, like: DataFrame) -> DataFrame:
+def _history(
+    state: DataFrame, since: dt.date, like: DataFrame, older: DataFrame | None = None
+) -> DataFrame:
     """Stored customer-months that a month from ``since`` on can look back to.
 
     Metrics are needed for a year only. Of older months just each customer's last one
-    counts, as a possible previous active month; that part reads the key columns alone.
+    counts, as a possible previous active month. It is given as ``older``, or that part reads the key
+    columns of all older months.
     """
     year_before = minus_months(F.lit(since), 12)
     recent = state.where(F.col("order_month") >= year_before)
-    older = last_month(state.where(F.col("order_month") < year_before))
+    if older is None:
+        older = last_month(state.where(F.col("order_month") < year_before))
     # Revenue is stored as a double; as the decimal it came from, differences are exact again.
     revenue = F.col("monthly_revenue").cast(like.schema["monthly_revenue"].dataType)
     recent = recent.select("customer_id", "order_month", *METRICS)
@@ -63,12 +85,15 @@ def _batch_over_stored(batch: DataFrame, stored: DataFrame) -> DataFrame:
     return marked.where(~F.col("_repeated") & ~F.col("_absent")).drop("_repeated", "_absent")
 
 
-def _refresh(
-    orders: DataFrame, state: DataFrame, since: dt.date, unique_order_id: bool
-) -> DataFrame:
+def _recent_months(orders: DataFrame, since: dt.date, unique_order_id: bool) -> DataFrame:
     recent = completed(orders.where(F.col("order_date") >= at_midnight(since)), "order_status")
-    batch = monthly_orders(recent, unique_order_id)
-    months = _batch_over_stored(batch, _history(state, since, batch))
+    return monthly_orders(recent, unique_order_id)
+
+
+def _refreshed(
+    batch: DataFrame, state: DataFrame, since: dt.date, older: DataFrame | None = None
+) -> DataFrame:
+    months = _batch_over_stored(batch, _history(state, since, batch, older))
     compared = previous_calendar(months, index=F.col("_index"))
     return kpi_columns(compared.where(F.col("_stored") == 0), "calendar")
 
@@ -84,7 +109,7 @@ def customer_kpi_incremental(
     since = high_water_mark(state, lookback_months)
     if since is None:
         return customer_kpi(orders, "calendar", unique_order_id)
-    return _refresh(orders, state, since, unique_order_id)
+    return _refreshed(_recent_months(orders, since, unique_order_id), state, since)
 
 
 def _stored_mark(
@@ -98,30 +123,79 @@ def _stored_mark(
     return None
 
 
+def _refresh_by_kept_activity(
+    spark: SparkSession,
+    orders: DataFrame,
+    target: Target,
+    state: DataFrame,
+    since: dt.date,
+    unique_order_id: bool,
+    last_active: Target,
+) -> None:
+    """A refresh that opens thirteen months, and of the kept rows those of the batch's customers."""
+    older = last_active_before(spark, state, last_active, months_later(since, -12))
+    path = scratch_dir(spark)
+    try:
+        # Staged, as two uses of the batch would compute it twice.
+        batch = stage(_recent_months(orders, since, unique_order_id), path)
+        named = batch.select(F.col("customer_id").alias("_customer")).distinct()
+        same = F.col("customer_id").eqNullSafe(F.col("_customer"))
+        asked = older.join(named, same, "left_semi")
+        recent = F.col("order_month") >= F.lit(since)
+        rows = _refreshed(batch, state, since, asked)
+        upsert(rows, target, touching=recent, unique=True, stored=state)
+    finally:
+        remove(spark, path)
+
+
 def run_customer_kpi(
     spark: SparkSession,
     src: DataFrame | str,
     target: Target,
     lookback_months: int = 0,
     unique_order_id: bool = False,
+    last_active: Target | None = None,
+    digests: Target | None = None,
 ) -> dt.date | None:
     """Build the target on the first run, refresh it afterwards.
 
     A target with the active lookback is built in full each time: its values depend on all
     earlier months. A stored table with the other lookback is refused. Returns the first
     month computed anew, None for a full build.
+
+    ``last_active`` names a table in which each customer's last active month is kept, so that the cost of
+    a refresh does not grow with the history. ``digests`` names a table of source months' digests: it
+    finds orders that were added to, changed in or removed from any older month, at the cost of a scan of the
+    source, and rewrites the months that depend on them. A first run with digests notes them only.
+    Both serve one target each, which nothing but this function should write.
     """
     orders = read_orders(spark, src)
     require_same_table(spark, target)
     if target.lookback == "active":
+        if last_active is not None or digests is not None:
+            raise ValueError("a target with the active lookback is built in full each time")
         materialize(customer_kpi(orders, "active", unique_order_id), target)
         return None
+    # Digests are taken first: what comes later is found by the next run.
+    now = None if digests is None else collect_digests(orders)
     state = find_state(spark, target)
     since = None if state is None else _stored_mark(spark, target, state, lookback_months)
+    noted = {} if digests is None or since is None else noted_digests(spark, digests)
+    late = late_months(now, noted, since) if noted else []
+    if last_active is not None and (since is None or late):
+        forget_last_active(spark, last_active)
     if since is None:
         materialize(customer_kpi(orders, "calendar", unique_order_id), target)
-        return None
-    batch = _refresh(orders, state, since, unique_order_id)
-    recent = F.col("order_month") >= F.lit(since)
-    upsert(batch, target, touching=recent, unique=True, stored=state)
+    elif late:
+        refresh_with_late_months(spark, orders, target, state, since, late, unique_order_id)
+    elif last_active is not None:
+        _refresh_by_kept_activity(
+            spark, orders, target, state, since, unique_order_id, last_active
+        )
+    else:
+        batch = _refreshed(_recent_months(orders, since, unique_order_id), state, since)
+        recent = F.col("order_month") >= F.lit(since)
+        upsert(batch, target, touching=recent, unique=True, stored=state)
+    if digests is not None:
+        note_digests(spark, now, digests)
     return since

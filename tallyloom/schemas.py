@@ -60,3 +60,28 @@ KPI_CALENDAR = T.StructType([T.StructField(n, t) for n, t in _KPI_FIELDS])
 KPI_ACTIVE = T.StructType(
     [T.StructField(n, t) for n, t in _KPI_FIELDS if n != "prev_year_orders"]
 )
+
+LAST_ACTIVE = T.StructType(
+    [
+        T.StructField("customer_id", T.LongType()),
+        T.StructField("order_month", T.DateType()),
+        T.StructField("before", T.DateType()),
+    ]
+)
+
+MONTH_DIGESTS = T.StructType(
+    [
+        T.StructField("order_month", T.DateType()),
+        T.StructField("n_rows", T.LongType()),
+        T.StructField("hash_sum", T.DecimalType(38, 0)),
+        T.StructField("year", T.IntegerType()),
+    ]
+)
+
+RUN_LEDGER = T.StructType(
+    [
+        T.StructField("date", T.DateType()),
+        T.StructField("has_rows", T.BooleanType()),
+        T.StructField("month", T.DateType()),
+    ]
+)

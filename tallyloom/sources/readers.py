@@ -88,6 +88,51 @@ def jdbc_day_slices(lo: dt.date, hi: dt.date, slices_per_day: int) -> list[str]:
     ]
 
 
+def balanced_slices(
+    counts: list[tuple[dt.datetime, int]], lo: dt.date, hi: dt.date, n_slices: int
+) -> list[str]:
+    """Half-open ``created_at`` ranges covering [lo, hi) with like numbers of rows, ``n_slices`` at most.
+
+    ``counts`` are rows by hour, in any order; hours without rows may be missing. A slice ends with the
+    hour in which its share of the rows is reached, so it has at most a share and an hour too many. An
+    hour that holds several shares is cut into as many parts of equal time.
+    """
+    if n_slices < 1 or hi <= lo:
+        raise ValueError("need lo < hi and at least one slice")
+    begin, end = (dt.datetime.combine(d, dt.time()) for d in (lo, hi))
+    hours = sorted((h, n) for h, n in counts if begin <= h < end and n > 0)
+    share = max(1, -(-sum(n for _, n in hours) // n_slices))
+    edges, held, one_hour = [begin], 0, dt.timedelta(hours=1)
+    for hour, n in hours:
+        parts = n // share
+        if parts > 1:  # the hour alone fills slices
+            edges += [hour + i * one_hour / parts for i in range(parts)] + [hour + one_hour]
+            held = 0
+            continue
+        held += n
+        if held >= share:
+            edges.append(hour + one_hour)
+            held = 0
+    edges = sorted({e for e in edges if e < end}) + [end]
+    # Cuts around full hours can make more slices than asked for: empty stretches go with the next.
+    while len(edges) - 1 > n_slices:
+        size = [sum(n for h, n in hours if a <= h < b) for a, b in zip(edges, edges[1:])]
+        least = min(range(len(size) - 1), key=lambda i: size[i] + size[i + 1])
+        del edges[least + 1]
+    return [
+        f"created_at >= TIMESTAMP '{a}' AND created_at < TIMESTAMP '{b}'"
+        for a, b in zip(edges, edges[1:])
+    ]
+
+
+def hour_counts_query(table: str, lo: dt.date, hi: dt.date) -> str:
+    """The statement by which a database counts the rows of each hour of the days [lo, hi)."""
+    return (
+        f"SELECT date_trunc('hour', created_at) AS hour, count(*) AS n FROM {table} "
+        f"WHERE created_at >= TIMESTAMP '{lo} 00:00:00' AND created_at < TIMESTAMP '{hi} 00:00:00' GROUP BY 1"
+    )
+
+
 def read_jdbc_sales(
     spark: SparkSession,
     url: str,
@@ -96,14 +141,19 @@ def read_jdbc_sales(
     hi: dt.date,
     slices_per_day: int = 24,
     properties: dict[str, str] | None = None,
+    balanced: bool = False,
 ) -> DataFrame:
     """Sales of the days [lo, hi) over JDBC.
 
     Without slices one connection, hence one task, would read everything. Column selection
-    and later filters are pushed into each slice's statement.
+    and later filters are pushed into each slice's statement. ``balanced`` has the database count the
+    rows of each hour first, and cuts slices of like size; otherwise they are of like duration.
     """
     slices = jdbc_day_slices(lo, hi, slices_per_day)
     reader = spark.read.option("preferTimestampNTZ", "true")
+    if balanced:
+        counted = reader.jdbc(url, f"({hour_counts_query(table, lo, hi)}) AS hours", properties=properties)
+        slices = balanced_slices(list(map(tuple, counted.collect())), lo, hi, len(slices))
     return conform(reader.jdbc(url, table, predicates=slices, properties=properties), schemas.SALES)
 
 
@@ -125,6 +175,16 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Put a folder in the place of another one of the same storage."""
+    jvm = spark._jvm
+    old, new = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(to)
+    files = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(new, True)
+    if not files.rename(old, new):
+        raise OSError(f"{path} could not be moved to {to}")
+
+
 def stage(df: DataFrame, path: str) -> DataFrame:
     """Write a step's output and continue from the files, with its types kept.
 

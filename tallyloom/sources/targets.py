@@ -21,7 +21,9 @@ class Target:
     """A Parquet table, in the catalog or at a path (a location with a slash).
 
     ``null_keys`` states that key columns may be null, and that nulls are equal to each other.
-    ``lookback`` says what the earlier values of a KPI table mean.
+    ``lookback`` says what the earlier values of a KPI table mean. ``buckets`` makes a new catalog table
+    bucketed and sorted by the key besides the partition column: an upsert then joins the stored rows where
+    they lie, and a read of one customer opens one bucket.
     """
 
     location: str
@@ -30,6 +32,11 @@ class Target:
     partition_by: str
     null_keys: bool = False
     lookback: str | None = None
+    buckets: int | None = None
+
+    def __post_init__(self):
+        if self.buckets is not None and (self.is_path or self.buckets < 1):
+            raise ValueError("only a catalog table can have buckets, one at least")
 
     @property
     def is_path(self) -> bool:
@@ -45,14 +52,38 @@ class Target:
         return [c for c in self.columns if c != self.partition_by] + [self.partition_by]
 
 
-def daily_target(location: str) -> Target:
-    return Target(location, schemas.DAILY_STATS, ("customer_id", "date"), "date")
+    @property
+    def bucket_by(self) -> str:
+        return next(k for k in self.keys if k != self.partition_by)
+
+
+def daily_target(location: str, buckets: int | None = None) -> Target:
+    keys = ("customer_id", "date")
+    return Target(location, schemas.DAILY_STATS, keys, "date", buckets=buckets)
 
 
-def kpi_target(location: str, lookback: str = "calendar") -> Target:
+def kpi_target(location: str, lookback: str = "calendar", buckets: int | None = None) -> Target:
     schema = {"calendar": schemas.KPI_CALENDAR, "active": schemas.KPI_ACTIVE}[lookback]
     keys = ("customer_id", "order_month")
-    return Target(location, schema, keys, "order_month", null_keys=True, lookback=lookback)
+    return Target(
+        location, schema, keys, "order_month", null_keys=True, lookback=lookback, buckets=buckets
+    )
+
+
+def last_active_target(location: str) -> Target:
+    """Each customer's last active month before a moment; a partition for each such moment."""
+    keys = ("customer_id", "before")
+    return Target(location, schemas.LAST_ACTIVE, keys, "before", null_keys=True)
+
+
+def digests_target(location: str) -> Target:
+    """A digest of each month of the source."""
+    return Target(location, schemas.MONTH_DIGESTS, ("order_month", "year"), "year")
+
+
+def ledger_target(location: str) -> Target:
+    """Run dates that were computed, also those without rows."""
+    return Target(location, schemas.RUN_LEDGER, ("date", "month"), "month")
 
 
 def find_state(spark: SparkSession, target: Target) -> DataFrame | None:
@@ -93,24 +124,53 @@ def require_same_table(spark: SparkSession, target: Target) -> None:
         raise ValueError(f"{target.location} holds a table with other columns")
 
 
-def stored_parts(spark: SparkSession, target: Target) -> list[dt.date]:
-    """Dates or months that the target has a partition of, the latest first; opens no file.
+@dataclass(frozen=True)
+class TableDetail:
+    """What the catalog says of a table's files."""
 
-    The null partition is left out, and a partition need not hold rows.
-    """
+    folder: str
+    lists_partitions: bool  # in the catalog, each with a folder of its own
+    buckets: int | None
+
+
+def table_detail(spark: SparkSession, target: Target) -> TableDetail:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {target.location}").collect()
+    names = [r.col_name for r in rows]
+    about = {r.col_name: r.data_type for r in rows[names.index("# Detailed Table Information") :]}
+    buckets = about.get("Num Buckets")
+    return TableDetail(
+        about["Location"], about.get("Partition Provider") == "Catalog", int(buckets) if buckets else None
+    )
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder; none where it does not exist."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [x.getPath().getName() for x in files.listStatus(where)] if files.exists(where) else []
+
+
+def stored_part_names(spark: SparkSession, target: Target) -> set[str]:
+    """The values in the names of the target's partitions; opens no file."""
     if target.is_path:
-        jvm = spark._jvm
-        where = jvm.org.apache.hadoop.fs.Path(target.location)
-        files = where.getFileSystem(spark._jsc.hadoopConfiguration())
-        names = [x.getPath().getName() for x in files.listStatus(where)] if files.exists(where) else []
-    elif spark.catalog.tableExists(target.location):
+        names = folders(spark, target.location)
+    elif not spark.catalog.tableExists(target.location):
+        names = []
+    elif (detail := table_detail(spark, target)).lists_partitions:
         names = [r[0] for r in spark.sql(f"SHOW PARTITIONS {target.location}").collect()]
     else:
-        names = []
+        names = folders(spark, detail.folder)
     begin = f"{target.partition_by}="
-    values = [x.removeprefix(begin) for x in names if x.startswith(begin)]
-    found = [dt.date.fromisoformat(x) for x in values if x not in ("null", NULL_PART)]
-    return sorted(found, reverse=True)
+    return {x.removeprefix(begin) for x in names if x.startswith(begin)}
+
+
+def stored_parts(spark: SparkSession, target: Target) -> list[dt.date]:
+    """Dates or months that the target has a partition of, the latest first; opens no file.
+
+    The null partition is left out, and a partition need not hold rows.
+    """
+    names = stored_part_names(spark, target) - {"null", NULL_PART}
+    return sorted(map(dt.date.fromisoformat, names), reverse=True)
 
 
 def exists(spark: SparkSession, target: Target) -> bool:
