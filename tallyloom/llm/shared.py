@@ -72,3 +72,10 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.size(F.regexp_extract_all(text, F.lit(WORD), F.lit(0))), F.lit(0)).cast(
         "long"
     )
+
+
+def free_prefix(columns: list[str], begin: str = "__") -> str:
+    """A beginning that no column's name has; names are the same in either case."""
+    while any(c.lower().startswith(begin.lower()) for c in columns):
+        begin = "_" + begin
+    return begin

@@ -267,6 +267,89 @@ def test_mixed_documents_are_whole_and_as_often_as_planned(docs):
     assert found == {(i, text[i]): n for i, n in copies.items()}
 
 
+def test_a_mix_of_repeated_rows_meets_its_target(spark, monkeypatch):
+    rows = [(1, "a b c d", "x")] * 1000 + [(2, "e", "y")] * 3 + [(i, f"w{i} v", None) for i in range(3, 400)]
+    rows += [(500, "f g", "x"), (500, "f g", "x"), (501, None, "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    first = None
+    for n in (1, 7):
+        got, goal, found = check_mix(df.repartition(n))
+        for source, target in goal.items():
+            assert got[source] == pytest.approx(target, rel=0.02, abs=2)
+        found = Counter((r.doc_id, r.taken) for r in found)
+        assert first in (None, found)  # the same however the rows are cut
+        first = found
+    half = [(7, "a b c d", "x")] * 1000 + [(8, "k " * 2000, "y")]
+    got, goal, _ = check_mix(spark.createDataFrame(half, "doc_id long, text string, source string"))
+    assert got["x"] == pytest.approx(goal["x"], rel=0.02) and goal["x"] == 2000
+    monkeypatch.setattr(mixing, "BROADCAST_ROWS", 0)
+    assert Counter((r.doc_id, r.taken) for r in mixing.taken(df).collect()) == first
+
+
+def test_what_is_taken_comes_through_the_tree(docs, monkeypatch):
+    found = mixing.taken(docs).collect()
+    assert all(r.taken == r.size * len([x for x in r.shards.split(",") if x]) for r in found)
+    assert {x for r in found for x in r.shards.split(",") if x} <= set(map(str, range(16)))
+    split = mixing.split
+    monkeypatch.setattr(mixing, "split", lambda q, s, seed, totals=None: split(q, s, seed, totals) * 0)
+    assert not any(r.taken for r in mixing.taken(docs).collect())
+
+
+def test_every_draw_by_brute_force(spark, docs):
+    """The whole draw again, in plain loops over numbered rows, block sums and the tree."""
+    few = docs.limit(300).select("doc_id", "text", "source")
+    rows = spark.createDataFrame(few.collect() + few.limit(40).collect(), few.schema)
+    key = F.xxhash64(F.lit(20240), "doc_id", "text", "source")
+    hashed = rows.select("doc_id", "text", "source", key.alias("key")).collect()
+    seen, numbered = Counter(), []
+    for r in hashed:
+        numbered.append((r.doc_id, len(words(r.text)), r.source, r.key, seen[r.key]))
+        seen[r.key] += 1
+    block = F.pmod(F.xxhash64("key", "again"), F.lit(mixing.BLOCKS)).alias("block")
+    schema = "doc_id long, size long, source string, key long, again long"
+    cut = spark.createDataFrame(numbered, schema).select("*", block).collect()
+    names = sorted({r.source for r in cut}, key=lambda s: (s is None, s or ""))
+    size = [sum(r.size for r in cut if r.source == n) for n in names]
+    goals = mixing.targets(size, [1 + i % 3 for i in range(len(names))])
+    orders, quotas = [], []
+    for i, name in enumerate(names):
+        blocks = sorted({r.block for r in cut if r.source == name})
+        sums = np.array([sum(r.size for r in cut if (r.source, r.block) == (name, b)) for b in blocks])
+        order, quota = mixing.order_blocks(sums, goals[i], [20240, i])
+        orders.append([blocks[j] for j in order])
+        quotas.append(quota)
+    lots = mixing.split(np.array(quotas), 16, 20240)
+    drawn = Counter()
+    for name, order, lot in zip(names, orders, lots):
+        for place, shard in enumerate(np.repeat(np.arange(16), lot).tolist()):
+            drawn[name, order[place], shard] += 1
+    want = Counter()
+    for r in cut:
+        own = sorted(s for (n, b, s), k in drawn.items() if (n, b) == (r.source, r.block) for _ in range(k))
+        want[r.doc_id, r.size * len(own), ",".join(map(str, own))] += 1
+    assert Counter((r.doc_id, r.taken, r.shards) for r in mixing.taken(rows).collect()) == want
+
+
+def test_very_many_sources(spark):
+    df = spark.range(200_000).select(
+        F.col("id").alias("doc_id"),
+        F.concat(F.lit("a "), F.repeat(F.lit("b "), (F.col("id") % 5).cast("int"))).alias("text"),
+        F.concat(F.lit("host"), F.col("id")).alias("source"),
+    )
+    total, taken, n = mixing.taken(df).agg(F.sum("size"), F.sum("taken"), F.count("*")).first()
+    assert n == 200_000 and taken == pytest.approx(total, rel=0.35)
+
+
+def test_targets_of_sources_in_a_frame(spark):
+    r = np.random.default_rng(3)
+    for sizes in ([0, 0, 5], [1, 10**6, 4], r.integers(0, 1000, 60) ** 2, [], [7]):
+        sizes = [int(x) for x in sizes]
+        df = spark.createDataFrame(list(enumerate(sizes)), "nth long, source_size long")
+        found = {x.nth: x.target for x in mixing._with_targets(df).collect()}
+        want = mixing.targets(sizes, [1 + i % 3 for i in range(len(sizes))])
+        assert [found[i] for i in range(len(sizes))] == pytest.approx(want)
+
+
 # --- BPE and token files -------------------------------------------------------------------
 
 
