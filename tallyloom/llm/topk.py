@@ -9,7 +9,8 @@ the k-th best score, the block is done (at equality it goes on, for an unseen ro
 tie with a smaller id). A block gives k rows per query, and these are merged over all blocks.
 
 Sums are exact: they are taken in 32-bit floats, 64-bit floats or whole Python numbers, as the
-size of the components allows.
+size of the components allows. Rows are numbered once, in a checkpoint, so a query knows its own row however
+often the vectors are read.
 
 Queries and candidates meet block by block; nothing is broadcast. The work is that of the stated query
 set against all rows, less what the thresholds save.
@@ -17,17 +18,23 @@ set against all rows, less what the thresholds save.
 Edge cases: vectors that are null or hold null or non-finite components take no part; shorter vectors are
 filled up with zeros; ties go to the smaller id, then to the row that comes first (a null
 id is never a query and comes after all others); repeated rows are rows, and a query
-leaves out its own row only; fewer than k candidates give fewer rows; an empty table gives none.
+leaves out its own row only; fewer than k candidates give fewer rows; an empty table gives none. Vectors so
+long or large that an inner product might not fit a long are refused. The input may be any frame, also a
+join, and other columns may have any name.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .bitplanes import finite, shape_of
+from .shared import kept
+
 BLOCK_ROWS = 2048
 QUERY_ROWS = 1024
 SCALE = 256
@@ -100,8 +107,15 @@ def _matrix(vectors: pd.Series, width: int) -> np.ndarray:
 
 
 def _block(k: int):
-    def run(candidates: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        columns = ["query_id", "query_row", "vec_id", "row", "score"]
+    columns = ["query_id", "query_row", "vec_id", "row", "score"]
+    schema = pa.schema([(c, pa.int64()) for c in columns])
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = table.to_pandas(integer_object_nulls=True)
+        found = best(rows[~rows["is_query"]], rows[rows["is_query"]])
+        return pa.Table.from_pandas(found, schema, preserve_index=False)
+
+    def best(candidates: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if not len(candidates) or not len(queries):
             return pd.DataFrame({c: np.zeros(0, np.int64) for c in columns})
         candidates = candidates.sort_values(["vec_id", "row"], na_position="last")
@@ -143,37 +157,38 @@ def top_k(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best rows for each row whose id ``every`` divides."""
 
-    def usable(x):
-        x = x.cast("double")
-        return x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
-
-    rows = vectors.select(
-        F.col(id).alias("vec_id"),
+    numbered = vectors.select(
+        F.col(id).cast("long").alias("vec_id"),
         F.monotonically_increasing_id().alias("row"),
         F.col(vector).alias("x"),
-    ).where(F.col("x").isNotNull() & F.forall("x", usable))
+    ).where(finite(F.col("x")))
+    rows = kept(numbered)
+    shape = shape_of(rows, "x")
     whole = rows.select(
         "vec_id",
         "row",
         F.transform("x", lambda x: F.floor(SCALE * x.cast("double")).cast("long")).alias("v"),
     )
     is_query = F.col("vec_id") % every == 0
-    n, n_queries = rows.agg(F.count("*"), F.count_if(is_query)).first()
-    blocks, portions = max(1, -(-n // block_rows)), max(1, -(-n_queries // query_rows))
+    n_queries = rows.where(is_query).count()
+    blocks, portions = max(1, -(-shape.rows // block_rows)), max(1, -(-n_queries // query_rows))
     spread = lambda n, salt: F.pmod(F.xxhash64("row", F.lit(salt)), F.lit(n))
     all_of = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
-    candidates = whole.withColumn("block", spread(blocks, "block")).withColumn(
-        "portion", all_of(portions)
+    candidates = (
+        whole.withColumn("block", spread(blocks, "block"))
+        .withColumn("portion", all_of(portions))
+        .withColumn("is_query", F.lit(False))
     )
     queries = (
         whole.where(is_query)
         .withColumn("portion", spread(portions, "portion"))
         .withColumn("block", all_of(blocks))
+        .withColumn("is_query", F.lit(True))
     )
     best = (
-        candidates.groupBy("block", "portion")
-        .cogroup(queries.groupBy("block", "portion"))
-        .applyInPandas(
+        candidates.unionByName(queries)
+        .groupBy("block", "portion")
+        .applyInArrow(
             _block(k), "query_id long, query_row long, vec_id long, row long, score long"
         )
     )

@@ -292,3 +292,51 @@ class Noted:
         found = self.places[key]
         self.read.append(found.size)
         return found
+
+
+def joined_inputs(spark, df):
+    ids = df.select("vec_id")
+    yield df.join(ids.withColumn("extra", F.lit(1)), "vec_id")
+    yield df.join(ids, "vec_id", "left_semi")
+    yield df.alias("a").join(df.alias("b"), F.col("a.vec_id") == F.col("b.vec_id")).select("a.*")
+    yield df.unionByName(df.limit(0))
+
+
+def test_top_k_of_joined_inputs(spark):
+    df = spark.read.parquet(f"{SF_DIR}/embeddings.parquet").where("vec_id < 120")
+    want = Counter(topk.top_k(df, every=10).collect())
+    assert len(want) == 60
+    for given in joined_inputs(spark, df):
+        assert Counter(topk.top_k(given, every=10).collect()) == want
+
+
+def test_top_k_of_an_input_read_in_another_order(spark, tmp_path, monkeypatch):
+    key = "spark.sql.files.minPartitionNum"
+
+    def kept_then_cut(df):
+        out = kept(df)
+        spark.conf.set(key, "1")
+        return out
+
+    path = f"{tmp_path}/vectors"
+    spark.read.parquet(f"{SF_DIR}/embeddings.parquet").repartition(9, F.rand(1)).write.parquet(path)
+    want = Counter(topk.top_k(spark.read.parquet(f"{SF_DIR}/embeddings.parquet")).collect())
+    monkeypatch.setattr(topk, "kept", kept_then_cut)
+    try:
+        assert Counter(topk.top_k(spark.read.parquet(path)).collect()) == want
+    finally:
+        spark.conf.unset(key)
+
+
+@pytest.mark.parametrize("size", [1e30, 1.7e308, -1e25])
+def test_components_beyond_a_long_are_refused(spark, size):
+    rows = [(0, [size, 1.0]), (50, [1.0, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="may not fit a long"):
+        topk.top_k(df)
+    fine = [(0, [1e5, -3e4]), (2**60 + 1, [2e5, 0.5]), (None, [1.0, 1.0])]
+    df = spark.createDataFrame(fine, "vec_id long, embedding array<double>")
+    found = topk.top_k(df, every=1, k=1).where("query_id = 0").first()
+    assert (found.vec_id, found.score) == (2**60 + 1, 25_600_000 * 51_200_000 - 7_680_000 * 128)
+
+
