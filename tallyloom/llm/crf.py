@@ -16,14 +16,14 @@ empty table gives no rows. Only the named columns are read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .html_blocks import Block, leaf_blocks
+from .html_blocks import Block, Node, leaf_blocks
 from .labelled_pages import labelled_pages
 
 
@@ -31,18 +31,28 @@ from .labelled_pages import labelled_pages
 LANDMARKS = set("article main nav header aside footer form section head dialog table".split())
 
 
-def path_features(path: tuple) -> list[str]:
-    out = {"bias"}
-    for depth, (tag, parts) in enumerate(reversed(path)):
-        out.add(f"in {tag}")
-        if depth == 0:
-            out.add(f"parent {tag}")
-        out.update(f"named {p}" for p in parts)
-    named = next((parts for _, parts in reversed(path) if parts), ())
-    out.update(f"nearest {p}" for p in named)
-    holder = next((tag for tag, parts in reversed(path) if parts or tag in LANDMARKS), "none")
-    out.add(f"held by {holder}")
-    return sorted(out)
+def _of(node: Node, above: tuple[tuple[str, ...], str]) -> tuple[tuple[str, ...], str]:
+    """The nearest names, and what holds the text, given those of the element around."""
+    return node.parts or above[0], node.tag if node.parts or node.tag in LANDMARKS else above[1]
+
+
+def path_features(path: Node | None) -> list[str]:
+    """Tags and names of all elements around a block, once each, and what is special of the nearest."""
+    chain = []
+    node = path
+    while node is not None:
+        chain.append(node)
+        node = node.parent
+    out, near = {"bias"}, ((), "none")
+    for node in reversed(chain):
+        out.update(node.new)
+        near = _of(node, near)
+    return sorted(out | own_features(path, near))
+
+
+def own_features(path: Node | None, near: tuple[tuple[str, ...], str]) -> set[str]:
+    out = {f"held by {near[1]}", *(f"nearest {p}" for p in near[0])}
+    return out if path is None else out | {f"parent {path.tag}"}
 
 
 def _step(x: float, *edges: float) -> int:
@@ -66,26 +76,38 @@ class Crf:
     weight: dict[str, float]  # score of label 1; label 0 scores 0
     start: tuple[float, float]
     move: tuple[tuple[float, float], tuple[float, float]]
-    _paths: dict = field(default_factory=dict, repr=False, compare=False)
 
-    def _score(self, block: Block) -> float:
-        at = self._paths.get(block.path)
-        if at is None:
-            if len(self._paths) > 10_000:
-                self._paths.clear()
-            at = sum(self.weight.get(f, 0.0) for f in path_features(block.path))
-            self._paths[block.path] = at
-        return at + sum(self.weight.get(f, 0.0) for f in text_features(block))
+    def _path_score(self, path: Node | None, known: dict) -> float:
+        """A path's score is that of the path around plus what its last element adds; ``known`` keeps both."""
+        chain = []
+        node = path
+        while node is not None and node not in known:
+            chain.append(node)
+            node = node.parent
+        at, near, _ = known.get(node) or (self.weight.get("bias", 0.0), ((), "none"), None)
+        for node in reversed(chain):
+            at += sum(self.weight.get(f, 0.0) for f in node.new)
+            near = _of(node, near)
+            known[node] = (at, near, None)
+        if known.setdefault(path, (at, near, None))[2] is None:
+            own = sum(self.weight.get(f, 0.0) for f in own_features(path, near))
+            known[path] = (at, near, at + own)
+        return known[path][2]
+
+    def _score(self, block: Block, known: dict | None = None) -> float:
+        text = sum(self.weight.get(f, 0.0) for f in text_features(block))
+        return self._path_score(block.path, {} if known is None else known) + text
 
     def decode(self, blocks: list[Block]) -> list[int]:
         """The best labels, by Viterbi."""
         if not blocks:
             return []
         (m00, m01), (m10, m11) = self.move
-        best0, best1 = self.start[0], self.start[1] + self._score(blocks[0])
+        known: dict = {}
+        best0, best1 = self.start[0], self.start[1] + self._score(blocks[0], known)
         back: list[tuple[int, int]] = []
         for block in blocks[1:]:
-            s = self._score(block)
+            s = self._score(block, known)
             a, b = best0 + m00, best1 + m10
             c, d = best0 + m01, best1 + m11
             back.append((int(b > a), int(d > c)))

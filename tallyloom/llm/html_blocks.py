@@ -4,24 +4,30 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
+from collections.abc import Generator
 from dataclasses import dataclass
 
-TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>"
-    r"|<[!?/][^>]*>",
-    re.DOTALL,
-)
+#: A tag whose quotes are closed, one that ends at the first '>', and other markup.
+STRICT = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>")
+LENIENT = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>")
+OTHER = re.compile(r"<[!?/][^>]*>")
+#: The first of these fails only by reading on to the end of the page. After so many failures the page's
+#: quotes are not trusted any more, so that no page costs the square of its length.
+FAILURES = 50
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 PART = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
-#: Their content is not markup and no text of the page.
-RAW = {"script", "style", "template", "noscript", "iframe", "object", "svg", "math", "textarea"}
+#: Their content is not markup and no text of the page. All other elements may hold text.
+RAW = {"script", "style", "noscript", "iframe", "textarea"}
+RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW}
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
 INLINE = set(
     "a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span "
-    "strike strong sub sup time tt u var wbr img".split()
+    "strike strong sub sup time tt u var wbr img object "
+    # formulas and drawings within a line
+    "math maction mfrac mi mn mo mover mpadded mroot mrow ms mspace msqrt mstyle msub msubsup msup mtext "
+    "munder munderover semantics annotation svg g defs use path rect circle line text tspan".split()
 )
 #: An element of the first kind that begins ends an open one of the second, up to the fence.
 ENDS = {
@@ -37,14 +43,72 @@ ENDS = {
 FENCES = {"table", "td", "th", "button", "article", "section", "main", "div", "body"}
 
 
+@dataclass(slots=True, eq=False)
+class Node:
+    """An open element, with those around it. Blocks of one page share their nodes."""
+
+    parent: Node | None
+    tag: str
+    #: The parts of its class, id and role.
+    parts: tuple[str, ...]
+    #: Which of its tag and parts no element around it has.
+    new: tuple[str, ...]
+
+
 @dataclass(slots=True)
 class Block:
     text: str
-    #: Open elements from the root, each a tag and the parts of its class, id and role.
-    path: tuple[tuple[str, tuple[str, ...]], ...]
+    path: Node | None
     linked: int
 
 
+class Open:
+    """The open elements. Finding the last one of a kind takes no search."""
+
+    def __init__(self):
+        self.stack: list[Node] = []
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []  # places of those that are not inline
+        self.named: Counter[str] = Counter()
+
+    def top(self) -> Node | None:
+        return self.stack[-1] if self.stack else None
+
+    def push(self, tag: str, parts: tuple[str, ...]) -> None:
+        places = self.places.setdefault(tag, [])
+        new = [] if places else [f"in {tag}"]
+        new += [f"named {p}" for p in parts if not self.named[p]]
+        places.append(len(self.stack))
+        if tag not in INLINE:
+            self.blocks.append(len(self.stack))
+        self.named.update(parts)
+        self.stack.append(Node(self.top(), tag, parts, tuple(new)))
+
+    def last(self, tags: set[str]) -> int:
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
+    def cut(self, place: int) -> None:
+        """End the elements from this place on."""
+        while len(self.stack) > place:
+            node = self.stack.pop()
+            self.places[node.tag].pop()
+            self.named.subtract(node.parts)
+        while self.blocks and self.blocks[-1] >= place:
+            self.blocks.pop()
+
+    def end(self, names: set[str], fences: set[str]) -> None:
+        """End the last element of these names, if no fence is open within it."""
+        place = self.last(names)
+        if place > self.last(fences):
+            self.cut(place)
+
+    def close(self, tag: str) -> None:
+        place = self.last({tag})
+        # The end of an inline element doesn't reach beyond a block.
+        if place >= 0 and not (tag in INLINE and self.blocks and self.blocks[-1] > place):
+            self.cut(place)
+
+
 def _parts(attributes: str) -> tuple[str, ...]:
     if "=" not in attributes:
         return ()
@@ -55,12 +119,46 @@ def _parts(attributes: str) -> tuple[str, ...]:
     return tuple(sorted(set(found)))
 
 
+def _markup(page: str) -> Generator[tuple[int, int, re.Match | None], int | None, None]:
+    """Begin and end of each tag or other markup in order, and the match of a tag."""
+    at, failures = 0, 0
+    last = page.rfind(">")
+    while True:
+        at = page.find("<", at)
+        if at < 0 or at > last and not page.startswith("<!--", at):
+            return
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            end = len(page) if end < 0 else end + 3
+            yield at, end, None
+            at = end
+            continue
+        m = None
+        if page[at + 1 : at + 2].isalpha() or page[at + 1 : at + 2] == "/":
+            if failures < FAILURES:
+                m = STRICT.match(page, at)
+                failures += m is None
+            m = m or LENIENT.match(page, at)
+        tag, m = m, m or OTHER.match(page, at)
+        if m is None:
+            at += 1
+            continue
+        at = m.end()
+        skip = yield m.start(), at, tag
+        if skip is not None:
+            at = skip
+
+
 def leaf_blocks(page: str) -> list[Block]:
-    """The page's blocks in order, references decoded and white space made one space."""
+    """The page's blocks in order, references decoded and white space made one space.
+
+    The time is in proportion to the page's length, however deep its elements lie in each other and
+    whatever it leaves open.
+    """
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    elements = Open()
     pieces: list[str] = []
-    path: tuple = ()
+    path: Node | None = None
     linked = links = 0
 
     def close_block() -> None:
@@ -78,58 +176,43 @@ def leaf_blocks(page: str) -> list[Block]:
         if not pieces:
             if text.isspace():
                 return
-            path = tuple(stack)
+            path = elements.top()
         text = html.unescape(text) if "&" in text else text
         if links:
             linked += len(text)
         pieces.append(text)
 
-    def pop_to(names: set[str], fences: set[str]) -> None:
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in names:
-                del stack[i:]
-                return
-            if stack[i][0] in fences:
-                return
-
-    at, end = 0, len(page)
-    while at < end:
-        m = TAG.search(page, at)
-        if m is None:
-            add(page[at:])
-            break
-        if m.start() > at:
-            add(page[at : m.start()])
-        at = m.end()
-        name = m[2] or m[5]
-        if not name:
-            continue
-        tag, closing = name.lower(), m[1] or m[4]
-        attributes = m[3] or m[6] or ""
-        if tag not in INLINE:
-            close_block()
-        if closing:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
-                    break
-                if tag in INLINE and stack[i][0] not in INLINE:
-                    break
-            if tag == "a":
-                links = 0
-            continue
-        if tag in RAW and not attributes.endswith("/"):
-            stop = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-            at = stop.end() if stop else end
-            continue
-        if tag in VOID or attributes.endswith("/"):
-            continue
-        if tag not in INLINE:
-            pop_to({"p"}, FENCES)
-            if tag in ENDS:
-                pop_to(*ENDS[tag])
-        if tag == "a":
-            links = 1
-        stack.append((tag, _parts(attributes)))
+    done = 0
+    markup = _markup(page)
+    found = next(markup, None)
+    while found is not None:
+        begin, end, m = found
+        add(page[done:begin])
+        done = end
+        skip = None
+        if m is not None:
+            closing, tag, attributes = m[1], m[2].lower(), m[3]
+            if tag not in INLINE:
+                close_block()
+            if closing:
+                elements.close(tag)
+                if tag == "a":
+                    links = 0
+            elif tag in RAW and not attributes.endswith("/"):
+                stop = RAW_END[tag].search(page, done)
+                done = skip = stop.end() if stop else len(page)
+            elif tag not in VOID and not attributes.endswith("/"):
+                if tag not in INLINE:
+                    elements.end({"p"}, FENCES)
+                    if tag in ENDS:
+                        elements.end(*ENDS[tag])
+                if tag == "a":
+                    links = 1
+                elements.push(tag, _parts(attributes))
+        try:
+            found = markup.send(skip)
+        except StopIteration:
+            found = None
+    add(page[done:])
     close_block()
     return out

@@ -97,6 +97,26 @@ def _paragraphs(rng: random.Random, label: int, most: int, tags: tuple[str, ...]
     return out
 
 
+def _unknown(rng: random.Random) -> str:
+    """A name that is in no list."""
+    name = _word(rng) + rng.choice(("", "-", "_")) + _word(rng)
+    return rng.choice(("", f' class="{name}"', f' id="{name}"', f' class="{_word(rng)} {name}"'))
+
+
+def _listed(rng: random.Random) -> Made:
+    """Main text in a list, in terms or in a table."""
+    out: Made = []
+    kind = rng.choice(("ul", "ol", "dl", "table"))
+    for _ in range(rng.randint(3, 9)):
+        if kind == "dl":
+            out += [("<dt>", None), (_word(rng), 1), ("<dd>", None), (_text(rng), 1)]
+        elif kind == "table":
+            out += [("<tr><td>", None), (_word(rng), 1), ("</td><td>", None), (_text(rng), 1), ("</td></tr>", None)]
+        else:
+            out += [("<li>", None), (_text(rng), 1), ("</li>", None)]
+    return _around(kind, "", out)
+
+
 def _bare(rng: random.Random, label: int) -> Made:
     return [(_text(rng), label)]
 
@@ -144,13 +164,23 @@ def labelled_page(rng: random.Random) -> tuple[str, list[int]]:
             article += _frame(rng, rng.choice(("advert", "advert", "sidebar", "notice", "form")))
     if rng.random() < 0.25:
         article += _frame(rng, rng.choice(("comments", "footer", "menu")))
+    if rng.random() < 0.12:  # a page that is chiefly a list, a table or terms
+        article = article[:3] + _listed(rng)
     kind = rng.random()
-    if kind < 0.55:
+    if kind < 0.45:
         article = _around("article", _attribute(rng, MAIN, 0.3), article)
-    elif kind < 0.7:
+    elif kind < 0.58:
         article = _around("main", _attribute(rng, MAIN, 0.3), article)
-    elif kind < 0.95:
+    elif kind < 0.78:
         article = _around("div", _attribute(rng, MAIN), article)
+    elif kind < 0.95:  # names that say nothing
+        for _ in range(rng.randint(1, 3)):
+            tag = rng.choice(("div", "div", "div", "section", "td"))
+            article = _around(tag, _unknown(rng), article)
+            if tag == "td":
+                article = _around("table", "", _around("tr", "", article))
+        if rng.random() < 0.5:
+            article = _around("div", _attribute(rng, MAIN), article)
     page: Made = [
         ('<!DOCTYPE html><html><head><meta charset="utf-8"><title>', None),
         (_text(rng), 0),

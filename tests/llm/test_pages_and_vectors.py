@@ -340,3 +340,120 @@ def test_components_beyond_a_long_are_refused(spark, size):
     assert (found.vec_id, found.score) == (2**60 + 1, 25_600_000 * 51_200_000 - 7_680_000 * 128)
 
 
+
+
+# --- blocks of odd pages -------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def page_model():
+    return crf.trained()
+
+
+SENTENCE = "The town council met on Monday to discuss the new bridge, which had been planned for years."
+
+
+def test_nothing_of_an_article_is_dropped(page_model):
+    def text(inside):
+        return page_model.main_text(f"<article><p>{SENTENCE}</p>{inside}</article>")
+
+    assert text("<p>Energy <math><mi>E</mi><mo>=</mo><mi>mc</mi></math> is it.</p>") == SENTENCE + " Energy E=mc is it."
+    for open_tag in ("<svg>", "<math>", "<object data=x>", "<template>"):
+        assert text(f"{open_tag}<p>{SENTENCE}</p><p>After it.</p>") == f"{SENTENCE} {SENTENCE} After it."
+    assert text("<script>var a = '<p>no</p>';</script><style>p{}</style>") == SENTENCE
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<div id="bodyContent"><div class="mw-parser-output"><p>{SENTENCE}</p><p>{SENTENCE}</p></div></div>',
+        f"<main><ul><li>{SENTENCE}</li><li>{SENTENCE}</li></ul></main>",
+        f'<div class="qzx-17"><div id="vlorp"><p>{SENTENCE}</p><p>{SENTENCE}</p></div></div>',
+        f"<table><tr><td><p>{SENTENCE}</p><p>{SENTENCE}</p></td></tr></table>",
+        f"<p>{SENTENCE}</p><p>{SENTENCE}</p>",
+    ],
+)
+def test_layouts_that_no_made_page_has(page_model, page):
+    menu = '<nav><ul><li><a href="/">Home</a></li><li><a href="/b">News</a></li></ul></nav>'
+    footer = "<footer><p>© 2020 The Council</p></footer>"
+    found = page_model.main_text(f"<html><body>{menu}{page}{footer}</body></html>")
+    assert found == f"{SENTENCE} {SENTENCE}"
+
+
+@pytest.mark.parametrize(
+    "part",
+    ['<div class="a">x', '<a "', "<p ", '<a ">" ', "<ul><li>x", "<b>x</x></i>", "<span>x</div>", "<!--", "<", "<script>"],
+)
+def test_time_is_in_proportion_to_the_page(part):
+    import time
+
+    page = "<p>" + part * (1_000_000 // len(part))
+    start = time.process_time()
+    blocks = html_blocks.leaf_blocks(page)
+    for block in blocks[-3:]:
+        block.text.strip()
+    assert time.process_time() - start < 5
+
+
+def brute_blocks(page):
+    """Blocks and open tags by the plain rules, for pages whose tags are all closed in order."""
+    import re
+
+    out, stack, text, path = [], [], "", None
+
+    def close():
+        nonlocal text, path
+        if text.split():
+            out.append((" ".join(text.split()), path))
+        text, path = "", None
+
+    for token in re.findall(r"<[^>]*>|[^<]+", page):
+        if not token.startswith("<"):
+            if text or token.strip():
+                path = path or list(stack)
+                text += token
+            continue
+        name = token.strip("</>").split()[0]
+        if name not in html_blocks.INLINE:
+            close()
+        if token.startswith("</"):
+            assert stack.pop() == name
+        else:
+            stack.append(name)
+    close()
+    return out
+
+
+def test_blocks_and_paths_by_plain_rules():
+    import random
+
+    rng = random.Random(5)
+
+    def made(depth):
+        out = ""
+        for _ in range(rng.randint(1, 4)):
+            tag = rng.choice(["div", "section", "article", "b", "a", "span", "em", "main"])
+            inside = made(depth - 1) if depth and rng.random() < 0.8 else rng.choice(["x", " y z ", "", "w\n"])
+            out += rng.choice(["", "t ", " u"]) + f"<{tag}>{inside}</{tag}>"
+        return out
+
+    def tags(node):
+        out = []
+        while node is not None:
+            out.append(node.tag)
+            node = node.parent
+        return out[::-1]
+
+    for _ in range(300):
+        page = made(4)
+        found = [(b.text, tags(b.path)) for b in html_blocks.leaf_blocks(page)]
+        assert found == brute_blocks(page)
+
+
+def test_a_path_score_is_the_sum_of_its_features(page_model):
+    for page, _ in labelled_pages.labelled_pages(20, seed=99):
+        known = {}
+        for block in html_blocks.leaf_blocks(page):
+            features = crf.path_features(block.path) + crf.text_features(block)
+            want = sum(page_model.weight.get(f, 0.0) for f in features)
+            assert page_model._score(block, known) == pytest.approx(want)
