@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -47,12 +48,17 @@ def path_features(path: Node | None) -> list[str]:
     for node in reversed(chain):
         out.update(node.new)
         near = _of(node, near)
-    return sorted(out | own_features(path, near))
+    return sorted(out.union(_own(path, near)))
 
 
-def own_features(path: Node | None, near: tuple[tuple[str, ...], str]) -> set[str]:
-    out = {f"held by {near[1]}", *(f"nearest {p}" for p in near[0])}
-    return out if path is None else out | {f"parent {path.tag}"}
+@lru_cache(maxsize=1 << 14)
+def _named_own(tag: str | None, near: tuple[tuple[str, ...], str]) -> tuple[str, ...]:
+    parent = () if tag is None else (f"parent {tag}",)
+    return (f"held by {near[1]}", *(f"nearest {p}" for p in near[0]), *parent)
+
+
+def _own(path: Node | None, near: tuple[tuple[str, ...], str]) -> tuple[str, ...]:
+    return _named_own(None if path is None else path.tag, near)
 
 
 def _step(x: float, *edges: float) -> int:
@@ -90,7 +96,7 @@ class Crf:
             near = _of(node, near)
             known[node] = (at, near, None)
         if known.setdefault(path, (at, near, None))[2] is None:
-            own = sum(self.weight.get(f, 0.0) for f in own_features(path, near))
+            own = sum(self.weight.get(f, 0.0) for f in _own(path, near))
             known[path] = (at, near, at + own)
         return known[path][2]
 
@@ -199,7 +205,7 @@ def fit(
     )
 
 
-def trained(n: int = 600, seed: int = 7) -> Crf:
+def trained(n: int = 1200, seed: int = 7) -> Crf:
     """A model fitted on ``n`` labelled pages."""
     return fit(labelled_pages(n, seed))
 

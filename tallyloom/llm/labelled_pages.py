@@ -160,18 +160,18 @@ def labelled_page(rng: random.Random) -> tuple[str, list[int]]:
             article += _around(rng.choice(("ul", "ol")), "", [("<li>", None), (_text(rng), 1)])
         if rng.random() < 0.1:
             article += _around("table", "", [("<tr><td>", None), (_text(rng), 1)])
-        if rng.random() < 0.4:
+        if rng.random() < 0.5:
             article += _frame(rng, rng.choice(("advert", "advert", "sidebar", "notice", "form")))
     if rng.random() < 0.25:
         article += _frame(rng, rng.choice(("comments", "footer", "menu")))
     if rng.random() < 0.12:  # a page that is chiefly a list, a table or terms
         article = article[:3] + _listed(rng)
     kind = rng.random()
-    if kind < 0.45:
+    if kind < 0.42:
         article = _around("article", _attribute(rng, MAIN, 0.3), article)
-    elif kind < 0.58:
+    elif kind < 0.53:
         article = _around("main", _attribute(rng, MAIN, 0.3), article)
-    elif kind < 0.78:
+    elif kind < 0.8:
         article = _around("div", _attribute(rng, MAIN), article)
     elif kind < 0.95:  # names that say nothing
         for _ in range(rng.randint(1, 3)):
@@ -202,6 +202,6 @@ def labelled_page(rng: random.Random) -> tuple[str, list[int]]:
     return marked.replace(MARKS[0], "").replace(MARKS[1], ""), labels
 
 
-def labelled_pages(n: int = 600, seed: int = 7) -> list[tuple[str, list[int]]]:
+def labelled_pages(n: int = 1200, seed: int = 7) -> list[tuple[str, list[int]]]:
     rng = random.Random(seed)
     return [labelled_page(rng) for _ in range(n)]

@@ -410,7 +410,7 @@ def brute_blocks(page):
     for token in re.findall(r"<[^>]*>|[^<]+", page):
         if not token.startswith("<"):
             if text or token.strip():
-                path = path or list(stack)
+                path = list(stack) if path is None else path
                 text += token
             continue
         name = token.strip("</>").split()[0]
