@@ -32,6 +32,8 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .shared import free_prefix
+
 #: Pieces of more bytes than this are merged one by one.
 LONG = 64
 #: Encoded pieces that a task keeps at most from one portion to the next; then it begins anew.
@@ -269,9 +271,10 @@ def encode(
     docs: DataFrame, tokenizer: Tokenizer, keep: list[Column], text: str = "text"
 ) -> DataFrame:
     """The ``keep`` columns with ``n_tokens``, ``ids`` (binary) and ``decoded`` digests."""
-    rows = docs.select(*keep, F.col(text).alias("__text"))
+    name = free_prefix(docs.select(*keep).columns)
+    rows = docs.select(*keep, F.col(text).alias(name))
     schema = (
-        rows.drop("__text")
+        rows.drop(name)
         .withColumns(
             {
                 "n_tokens": F.lit(0).cast("long"),

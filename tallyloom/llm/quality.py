@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import WHITE_SPACE, words
+from .shared import WHITE_SPACE, free_prefix, shared_folder, words
 
 LEAST_WORDS = 20
 #: Of 100 words, so many may lie in repeated windows.
@@ -217,12 +217,14 @@ def judged(measured: DataFrame, model: Model, p: str = "") -> DataFrame:
 
 
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows that are kept, in their own columns. No shuffle but of the pattern counts."""
-    p = "__q_"
-    measured = measure(docs, text, p)
+    """The rows that are kept, in their own columns. No shuffle but of the pattern counts.
+
+    The measures are taken once: the rows are written with them to the shared folder, the model is
+    fitted on the measures alone, and the verdicts read them.
+    """
+    spark, p = docs.sparkSession, free_prefix(docs.columns)
+    path = shared_folder(spark, "measured")
+    measure(docs, text, p).write.option("compression", "zstd").parquet(path)
+    measured = spark.read.parquet(path)
     model = fit(measured, p)
-    # A filter is pushed below selects whose columns are deterministic, and the measures would then be
-    # written into it again and again. A row number that the filter reads stops that.
-    numbered = measured.withColumn(f"{p}row", F.monotonically_increasing_id())
-    stays = F.col(f"{p}kept") & (F.col(f"{p}row") >= 0)
-    return judged(numbered, model, p).where(stays).select(*docs.columns)
+    return judged(measured, model, p).where(f"{p}kept").select(*docs.columns)

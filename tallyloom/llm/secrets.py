@@ -22,7 +22,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import kept
+from .shared import free_prefix, kept
 
 FINDINGS = 3000
 TREES = 20
@@ -400,7 +400,7 @@ def scan(docs: DataFrame, trees: list[str], id: str = "doc_id", text: str = "tex
 
 def redact(docs: DataFrame, trees: list[str], text: str = "text", n_chars: str = "n_chars") -> DataFrame:
     """``docs`` in their own columns, with secrets replaced and lengths put right."""
-    p = "__s_"
+    p = free_prefix(docs.columns)
     rows = found(docs, trees, text, p).withColumn(f"{p}redacted", redacted(p))
     return rows.select(
         *[

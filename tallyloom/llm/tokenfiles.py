@@ -5,10 +5,12 @@ document. There is no index: where documents end is only seen by looking at the
 
 * **Writing.** Spark's text writer writes a row's bytes as they are and a line separator after each
   row; the separator is the end-of-document id's bytes. So files go to any storage that Spark
-  writes to. They hold at most ``DOCS_IN_FILE`` documents.
+  writes to. A file is full once it has ``FILE_BYTES``, so it holds less than that and one document;
+  the files of a part lie in folders ``piece=PPPPPP-NNNNN``.
 * **Scan.** A file is cut into blocks of ``BLOCK_TOKENS`` ids without regard to documents. In a
   block all separators are found with one comparison over the array; what lies
-  before the first and after the last one belongs to documents that go beyond the block.
+  before the first and after the last one belongs to documents that go beyond the block. Files of one
+  part are scanned by different tasks.
 * **Stitching.** Running sums over the blocks of a part (ids so far, separators so far) and a running
   maximum (where the last separator was) give each block the place and length of the
   document that it continues.
@@ -17,7 +19,9 @@ document. There is no index: where documents end is only seen by looking at the
 
 Edge cases: a null or empty text is a document of no tokens, which two separators in a row
 show; ids after the last separator are a document that was not ended; an empty file has no documents;
-repeated rows are documents of their own; other columns may have any name.
+repeated rows are documents of their own; other columns may have any name. Ids that the file's type cannot
+hold, and a separator that is a token, are refused. Files made elsewhere may have up to 2 GiB, which is what
+Spark reads as one value.
 """
 
 from __future__ import annotations
@@ -26,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -33,8 +38,9 @@ from pyspark.sql.window import Window
 from .bpe import Tokenizer, in_portions
 from .shared import kept, steady_splits
 
-DOCS_IN_FILE = 2000
+FILE_BYTES = 64 << 20
 BLOCK_TOKENS = 1 << 16
+PIECE = r"^piece=\d+-\d+$"
 #: Bits of monotonically_increasing_id() that number the rows of a partition.
 ROW_BITS = 33
 
@@ -49,22 +55,38 @@ def write(
 ) -> None:
     """Flat token files of all texts, partition by partition, in the order of the rows."""
     rows = docs.select(F.col(text).alias("text"))
+    tokens = tokenizer.sent.value.values()
+    if max(*tokens, end) > np.iinfo(dtype).max:
+        raise ValueError(f"ids up to {max(*tokens, end)} don't fit the type {dtype}")
+    if end in set(tokens):
+        raise ValueError(f"the separator {end} is a token")
+    width = np.dtype(dtype).itemsize
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokenizer.encoder(dtype)
+        part, piece, held, nth = TaskContext.get().partitionId(), 0, 0, 0
         for batch in batches:
             for texts in in_portions(batch.column(0)):
+                ids, pieces = encoder.encode_all(texts), []
+                for x in ids:
+                    if held >= FILE_BYTES:
+                        piece, held = piece + 1, 0
+                    pieces.append(f"{part:06d}-{piece:05d}")
+                    held += len(x) + width
+                places = pa.array(range(nth, nth + len(ids)), pa.int64())
+                nth += len(ids)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(encoder.encode_all(texts), pa.binary())], ["ids"]
+                    [pa.array(ids, pa.binary()), pa.array(pieces), places], ["ids", "piece", "nth"]
                 )
 
     separator = np.array([end], dtype).tobytes().decode("latin-1")
     (
-        rows.mapInArrow(run, "ids binary")
-        .select(F.col("ids").cast("string"))
-        .write.option("lineSep", separator)
+        rows.mapInArrow(run, "ids binary, piece string, nth long")
+        .sortWithinPartitions("piece", "nth")  # the writer takes rows sorted by folder as they come
+        .select(F.col("ids").cast("string"), "piece")
+        .write.partitionBy("piece")
+        .option("lineSep", separator)
         .option("encoding", "ISO-8859-1")
-        .option("maxRecordsPerFile", DOCS_IN_FILE)
         .text(path)
     )
 
@@ -92,10 +114,13 @@ def blocks(
     spark: SparkSession, path: str, end: int, dtype: str = "<u2", block: int = BLOCK_TOKENS
 ) -> DataFrame:
     """A row for each block of each file: its place, separators and counts."""
+    folder, name = (F.element_at(F.split("path", "/"), i) for i in (-2, -1))
+    in_piece = folder.rlike(PIECE)
     files = (
         spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
         .load(path)
-        .select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
+        .select(F.when(in_piece, F.concat_ws("/", folder, name)).otherwise(name).alias("file"), "content")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,10 +154,11 @@ def counts(
 ) -> DataFrame:
     """(part, nth, n_tokens) of each document in the files of a folder.
 
-    Files named part-NNNNN... belong to part NNNNN and follow each other in the order of their
-    names; any other file is a part named by itself and keeps ``part`` null.
+    Files in folders named piece=NNNNNN-..., and others named part-NNNNN..., belong to part NNNNN and follow
+    each other in the order of their names; any other file is a part named by itself and keeps
+    ``part`` null.
     """
-    part = F.regexp_extract("file", r"^part-(\d+)-", 1)
+    part = F.regexp_extract("file", r"^(?:piece=|part-)(\d+)-", 1)
     rows = blocks(spark, path, end, dtype, block).withColumn(
         "name", F.when(part != "", part).otherwise(F.col("file"))
     )

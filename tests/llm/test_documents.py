@@ -417,6 +417,52 @@ def test_counts_from_token_files(docs, documents, no_documents, tokenizer, libra
         assert Counter(tuple(r) for r in found.collect()) == want
 
 
+def test_files_are_bounded_by_bytes_and_scanned_apart(spark, tokenizer, library, tmp_path, monkeypatch):
+    monkeypatch.setattr(tokenfiles, "FILE_BYTES", 3000)
+    rows = [(i, f"some words of text number {i} " * (1 + i % 20)) for i in range(300)] + [(900, "long " * 9000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    found = tokenfiles.count_documents(df, tokenizer, f"{tmp_path}/t", queries.END)
+    want = {i: len(library.encode_ordinary(t)) for i, t in rows}
+    assert {r.doc_id: r.n_tokens for r in found.collect()} == want
+    sizes = [p.stat().st_size for p in tmp_path.glob("t/piece=*/part-*")]
+    assert len(sizes) > 8 and sorted(sizes)[-2] < 3000 + 2 * 1000 and max(sizes) < 3000 + 2 * 9001
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    try:
+        blocks = tokenfiles.blocks(spark, f"{tmp_path}/t", queries.END)
+        of = F.regexp_extract("file", "piece=([0-9]+)-", 1)
+        tasks = blocks.select(of.alias("part"), F.spark_partition_id().alias("task")).distinct()
+        assert tasks.groupBy("part").count().agg(F.min("count")).first()[0] > 3
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_types_and_separators_that_do_not_fit_are_refused(docs, tokenizer, tmp_path):
+    write = lambda end, dtype="<u2": tokenfiles.write(docs, tokenizer, f"{tmp_path}/t", end, dtype)
+    with pytest.raises(ValueError, match="don't fit the type <u1"):
+        write(queries.END, "<u1")
+    with pytest.raises(ValueError, match="don't fit the type"):
+        write(70_000)
+    with pytest.raises(ValueError, match="is a token"):
+        write(17)
+
+
+def test_columns_of_any_name(spark, docs, tokenizer):
+    """Names that the operators use themselves may be the input's."""
+    few = docs.limit(60)
+    own = "n_words n_symbols kept quality parts redacted candidates size copies shards key again name null block"
+    marks = [m + c for m in ("", "__", "__Q_", "__s_", "__mix_") for c in own.split()] + ["__text"]
+    clash = few.select("*", *[F.lit(n).alias(n) for n in marks])
+    plain = lambda df: Counter(tuple(r) for r in df.select(*few.columns).collect())
+    trees = secrets.fit(secrets.labelled_findings(spark, 300))
+    for operator in (quality.keep_good, mixing.mix, lambda df: secrets.redact(df, trees)):
+        found = operator(clash)
+        assert found.columns == clash.columns
+        assert plain(found) == plain(operator(few))
+    keep = [F.col("doc_id"), F.col("__text")]
+    assert bpe.encode(clash, tokenizer, keep).columns[:2] == ["doc_id", "__text"]
+    assert bpe.encode(clash, tokenizer, keep).count() == few.count()
+
+
 def test_splits_stay_while_files_are_written(spark):
     key = "spark.sql.files.minPartitionNum"
     for before in (None, "3"):
