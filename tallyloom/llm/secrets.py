@@ -1,7 +1,8 @@
 """Secret scans with a random forest that removes false positives, in DataFrame functions only.
 
 * **Candidates** are found by one pattern over the whole text: tokens long enough to be a key that hold a
-  digit, quoted values after ``=`` or ``:``, and private keys from their first line to their last.
+  digit, quoted values after ``=`` or ``:``, any value of six signs or more after a word for passwords and ``=``
+  or ``:``, and private keys from their first line to their last. Nothing is too long to be one.
 * **Features** of a candidate: its length, shares of character classes, transitions between
   classes and common letter pairs, how much of it dictionary words cover, whether it looks like a path,
   address or number, and the words beside it.
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .shared import free_prefix, kept
 
-FINDINGS = 3000
+FINDINGS = 6000
 TREES = 20
 DEPTH = 7
 SEED = 11
@@ -47,12 +48,15 @@ CANDIDATE = (
     rf"{PEM}(?:{KEY_FOLLOWS}(?s:.*?)(?:-----END \1PRIVATE KEY\2-----|\z))?+"
     rf"|(?<!{TOKEN}){KEY}"
     # a quoted value that holds no such key after a '='
-    rf"|(?<=[=:] ?[\"'])(?![^\"'\s]*={KEY})[^\"'\s]{{8,256}}(?=[\"'])"
+    rf"|(?<=[=:] ?[\"'])(?![^\"'\s]*={KEY})[^\"'\s]{{8,}}+(?=[\"'])"
+    # any value right after a word for passwords, also one without digits
+    r"|(?<=[=:][ \t]?)(?<=(?i:passw(?:or)?d|passphrase|pwd|pass|secret|token|api_?key)[\"'`]?[ \t]?[=:][ \t]?)"
+    r"(?:[^\s\"'`<>&;,]|&(?!\w+=)){6,}+"
 )
 
 # Words that tell secrets from what looks like them.
 SECRET_WORDS = (
-    "token secret password passwd passphrase pwd key apikey auth authorization bearer credential "
+    "token secret password passwd passphrase pwd pass key apikey auth authorization bearer credential "
     "credentials private access"
 ).split()
 HARMLESS_WORDS = (
@@ -132,11 +136,14 @@ def features(value: Column, before: Column, after: Column) -> Column:
     return F.struct(*[F.coalesce(found[k], F.lit(0.0)).alias(k) for k in NAMES])
 
 
-def labelled_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
-    """(value, before, after, label) made by rule: half secrets, half what only looks like them.
+def labelled_findings(
+    spark: SparkSession, n: int = FINDINGS, without: tuple[str, ...] = ()
+) -> DataFrame:
+    """(value, before, after, label, kind) made by rule: half secrets, half what only looks like them.
 
     As many texts are made of each kind of secret, and as many of each kind of lookalike; the rows are
-    what a scan finds in them. A text holds one candidate at most.
+    what a scan finds in them. A text holds one candidate at most. Words and marks around the values are
+    common ones and come from no table. ``without`` leaves kinds out, to hold them out of a fit.
     """
     h = lambda salt: F.xxhash64("id", F.lit(salt))
 
@@ -144,32 +151,49 @@ def labelled_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
         at = F.pmod(h(salt), F.lit(len(of))) + 1
         return F.element_at(F.array(*[F.lit(x) for x in of]), at.cast("int"))
 
-    def cut(x: Column, size: int, begin: int = 1) -> Column:
+    def cut(x: Column, size: int | Column, begin: int | Column = 1) -> Column:
         return F.substring(x, begin, size)
 
+    def size(low: int, high: int, salt: str) -> Column:
+        return (F.pmod(h(salt), F.lit(high - low + 1)) + low).cast("int")
+
     digest = F.sha2(F.concat(F.lit("finding "), F.col("id").cast("string")), 512)
     mixed = F.regexp_replace(F.base64(F.unhex(digest)), "[+/=]", "")
     number = F.regexp_replace(digest, "[^0-9]", "")
     upper = F.upper(F.regexp_replace(mixed, "[^A-Z0-9]", ""))
     uuid = F.concat_ws("-", *[cut(digest, k, a) for a, k in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
-    prose = "the thanon of re aile und sch la queon erst hetion los casa mit a thing".split()
-    names = "report image thonre archive ununge eauaile".split()
+    prose = (
+        "the a of and to in is it for on with as at by we you they this that see use get made new old "
+        "one two part line der die das und la le les de que y el un une para mit"
+    ).split()
+    names = "report image archive chart notes photo index summary".split()
     no_text = F.lit("")
     said = F.concat_ws(" ", pick(prose, "w1"), pick(prose, "w2"), no_text)
     near = F.concat_ws(" ", pick(prose, "w1"), pick(prose, "w2"), pick(prose, "w3"), no_text)
-    tail = pick(["", "", "", "", "!!", "###", "***", "%%%", ","], "tail")
+    # Marks of any kind may follow a word: none mostly, or one repeated up to three times.
+    mark = F.repeat(pick(list("!#*%~+.,;)"), "mark"), size(1, 3, "marks"))
+    tail = F.when(F.pmod(h("tail"), F.lit(2)) == 0, no_text).otherwise(mark)
     words = [*SECRET_WORDS, "api_key", "auth_token", "client_secret"]
     asked = pick([f(w) for w in words for f in (str.lower, str.upper, str.title)], "word")
     sign = pick([" = ", "=", ": ", " : ", " => ", " ", " is "], "sign")
     quote = pick(['"', '"', '"', "'", ""], "quote")
-    assigned = F.concat(said, asked, tail, sign, quote)
+    assigned = F.concat(said, asked, tail, sign, F.when(F.pmod(h("odd"), F.lit(6)) == 0, mark).otherwise(no_text), quote)
     # settings and links: no quotes, and the sign right after the name
     name = F.concat(pick(["", "", "AWS_", "app_", "MY_", "db."], "whose"), asked)
     link = F.concat(F.lit("https://"), pick(["api", "www"], "site"), F.lit(".example.com/a?"))
     bare = F.concat(pick(["", "\n", "export ", "&", "?"], "stands"), name, F.lit("="))
+    link = F.concat(pick(["", "", 'href="'], "href"), link, pick(["", "page=2&"], "page"))
     bare = F.when(F.pmod(h("linked"), F.lit(3)) == 0, F.concat(link, name, F.lit("="))).otherwise(bare)
-    ends = pick(["", "\n", "&page=2", ";"], "ends")
+    ends = pick(["", "\n", "&page=2", ";", '">', "'>"], "ends")
+    setting = F.concat_ws(
+        "_", pick(["AWS_S3", "APP2_PROD", "DB_1_MAIN", "MY_K8S"], "v1"), F.upper(pick(words, "v2")), F.lit("KEY"), cut(number, 1)
+    )
     labelled = F.concat(said, pick(HARMLESS_WORDS, "of"), pick([" ", ": ", " = ", "="], "to"), quote)
+    phrase = pick("password passwd passphrase pwd pass secret token api_key".split(), "phrase")
+    phrase = F.when(F.pmod(h("up"), F.lit(3)) == 0, F.upper(phrase)).otherwise(phrase)
+    to = pick([": ", "=", " = ", ":"], "colon")
+    # a password beside its word, with and without quotes
+    login = F.concat(pick(["", "my ", "db_", "the "], "my"), phrase, to, quote)
     path = F.concat(
         F.lit("/"), pick(names, "p1"), F.lit("/"), pick(names, "p2"), cut(number, 3), F.lit(".txt")
     )
@@ -180,53 +204,88 @@ def labelled_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
         "xxxxxxxxxxxxxxxxxxx1 your_token_here_123 example-password-1234 0000000000000000 "
         "changeme12345678 insert-api-key-here-1 test_token_12345678 dummy_secret_value_1"
     ).split()
-    secrets = [
-        cut(digest, 32),
-        cut(digest, 40),
-        cut(digest, 64),
-        F.upper(cut(digest, 40)),
-        cut(mixed, 20),
-        cut(mixed, 32),
-        cut(mixed, 40),
-        F.concat(F.lit("AKIA"), cut(upper, 16)),
-        F.concat(F.lit("ghp_"), cut(mixed, 36)),
-        F.concat(F.lit("sk_live_"), cut(mixed, 24)),
-        F.concat(F.lit("eyJ"), cut(mixed, 30), F.lit("."), cut(mixed, 40, 31)),
-    ]
+    # what stands after such a word in texts and programs and is no secret
+    spoken = (
+        "required optional missing changed expired invalid disabled everyone something nothing string "
+        "number boolean undefined default... process.env.TOKEN getToken() ${PASSWORD} os.environ None,None "
+        "forgotten characters needed. protected unknown because {{secret}} %(token)s self.token"
+    ).split()
+    long_words = [w for w in DICTIONARY if len(w) > 3 and w not in ("changeme", "redacted", "placeholder")]
+    long_words += "river stone tiger copper window silver garden monkey dragon summer bridge kettle marble".split() * 6
+    prefixed = {
+        "aws": F.concat(F.lit("AKIA"), cut(upper, 16)),
+        "github": F.concat(pick(["ghp_", "gho_", "ghs_"], "gh"), cut(mixed, 36)),
+        "stripe": F.concat(pick(["sk_live_", "rk_live_"], "sk"), cut(mixed, 24)),
+        "slack": F.concat(pick(["xoxb-", "xoxp-"], "xo"), cut(number, 11), F.lit("-"), cut(mixed, 24)),
+        "gitlab": F.concat(F.lit("glpat-"), cut(mixed, 20)),
+        "google": F.concat(F.lit("AIza"), cut(mixed, 35)),
+        "jwt": F.concat(F.lit("eyJ"), cut(mixed, 30), F.lit("."), cut(mixed, 40, 31)),
+    }
+    plain = {
+        "hex32": cut(digest, 32),
+        "hex40": cut(digest, 40),
+        "hex64": cut(digest, 64),
+        "HEX40": F.upper(cut(digest, 40)),
+        "mixed20": cut(mixed, 20),
+        "mixed32": cut(mixed, 32),
+        "mixed40": cut(mixed, 40),
+        "long": F.concat(mixed, cut(digest, size(100, 128, "rest")), F.reverse(mixed)),
+    }
+    passwords = {
+        "word and digits": F.concat(
+            pick(long_words, "x1"), cut(number, size(1, 4, "d")), pick(list("!@#$%*?"), "x2")
+        ),
+        "random": F.concat(cut(mixed, size(6, 12, "r")), pick(list("!@#$%*?"), "x3"), cut(number, 1, 5)),
+        "words": F.concat(
+            pick(long_words, "y1"), pick(long_words, "y2"), pick(long_words, "y3"), pick(long_words, "y4")
+        ),
+    }
     kind = pick(["RSA ", "EC ", "DSA ", "OPENSSH ", "ENCRYPTED ", "", "PGP "], "kind")
     block = F.when(kind == "PGP ", F.lit(" BLOCK")).otherwise(no_text)
     edge = lambda x: F.concat(F.lit(f"-----{x} "), kind, F.lit("PRIVATE KEY"), block, F.lit("-----"))
     pem = F.concat(edge("BEGIN"), F.lit("\n"), mixed, F.lit("\n"), cut(mixed, 30), F.lit("\n"), edge("END"))
     # what stands before the value, the value, what stands after it
-    lookalikes = [
-        (labelled, cut(digest, 40), quote),
-        (labelled, cut(digest, 64), quote),
-        (labelled, uuid, quote),
-        (F.concat(link, pick(HARMLESS_WORDS, "of"), F.lit("=")), cut(digest, 40), ends),
-        (bare, pick(placeholders, "placeholder"), ends),
-        (labelled, cut(number, 16), quote),
-        (assigned, pick(placeholders, "placeholder"), quote),
-        (near, cut(number, 16), tail),
-        (near, path, tail),
-        (F.concat(near, F.lit("http://")), F.concat(host, path), no_text),
-        (F.concat(near, pick(prose, "m"), F.lit(".7@")), host, tail),
-        (near, F.concat_ws("-", pick(names, "a"), pick(names, "b"), cut(number, 2)), tail),
-        (near, uuid, tail),
-        (near, F.concat(F.lit("+1-"), cut(number, 3), F.lit("-555-"), cut(number, 4, 4)), tail),
-        (near, F.concat(pick(names, "a"), pick(names, "b"), pick(names, "c"), cut(number, 2)), tail),
-        (near, F.concat(F.lit("2024-0"), cut(number, 1), F.lit("-release-"), cut(number, 4, 2)), tail),
+    lookalikes = {
+        "commit": (labelled, cut(digest, 40), quote),
+        "checksum": (labelled, cut(digest, 64), quote),
+        "uuid": (labelled, uuid, quote),
+        "linked id": (F.concat(link, pick(HARMLESS_WORDS, "of"), F.lit("=")), cut(digest, 40), ends),
+        "placeholder set": (bare, pick(placeholders, "placeholder"), ends),
+        "number": (labelled, cut(number, 16), quote),
+        "placeholder": (assigned, pick(placeholders, "placeholder"), quote),
+        "number in prose": (near, cut(number, 16), tail),
+        "path": (near, path, tail),
+        "url": (F.concat(near, F.lit("http://")), F.concat(host, path), no_text),
+        "mail": (F.concat(near, pick(prose, "m"), F.lit(".7@")), host, tail),
+        "slug": (near, F.concat_ws("-", pick(names, "a"), pick(names, "b"), cut(number, 2)), tail),
+        "uuid in prose": (near, uuid, tail),
+        "phone": (near, F.concat(F.lit("+1-"), cut(number, 3), F.lit("-555-"), cut(number, 4, 4)), tail),
+        "file": (near, F.concat(pick(names, "a"), pick(names, "b"), pick(names, "c"), cut(number, 2)), tail),
+        "release": (near, F.concat(F.lit("2024-0"), cut(number, 1), F.lit("-release-"), cut(number, 4, 2)), tail),
+        "digest in prose": (near, cut(digest, 40), tail),
+        "setting": (pick(["", "export ", "set "], "v3"), setting, F.concat(F.lit("="), quote, F.lit("x1"), quote)),
+        "spoken": (F.concat(pick(["", "my ", "the "], "my"), phrase, to), pick(spoken, "spoken"), F.lit(" ")),
+        "spoken quoted": (F.concat(phrase, to, F.lit('"')), pick(spoken, "spoken"), F.lit('"')),
+    }
+    cases = [(k, assigned, x, F.concat(quote, tail), 1.0) for k, x in (plain | prefixed).items()]
+    cases += [(f"{k} set", bare, x, ends, 1.0) for k, x in (plain | prefixed).items()]
+    cases += [(f"{k} in prose", near, x, tail, 1.0) for k, x in prefixed.items()]
+    cases += [(k, login, x, F.concat(quote, F.lit(" ")), 1.0) for k, x in passwords.items()]
+    cases += [
+        (k, x, pem, F.lit("\n"), 1.0)
+        for k, x in (("key named", assigned), ("key below", F.concat(near, F.lit("\n"))), ("key alone", no_text))
     ]
-    cases = [(assigned, x, F.concat(quote, tail), 1.0) for x in secrets]
-    cases += [(bare, x, ends, 1.0) for x in secrets]
-    cases += [(x, pem, F.lit("\n"), 1.0) for x in (assigned, F.concat(near, F.lit("\n")), no_text)]
-    cases += [(near, edge("BEGIN"), F.lit(" "), 1.0)]
-    cases += [(*x, 0.0) for x in lookalikes]
+    cases += [("first line", near, edge("BEGIN"), F.lit(" "), 1.0)]
+    cases += [(k, *x, 0.0) for k, x in lookalikes.items()]
     made = None
-    for i, (before, value, after, label) in enumerate(cases):
+    for i, (of, before, value, after, label) in enumerate(cases):
+        if of in without:
+            continue
         each = n // 2 // (len(cases) - len(lookalikes) if label else len(lookalikes))
         rows = spark.range(i * n, i * n + each, 1, 1).select(
             F.concat(before, value, F.concat_ws(" ", after, pick(prose, "w4"))).alias("text"),
             F.lit(label).alias("label"),
+            F.lit(of).alias("kind"),
         )
         made = rows if made is None else made.unionByName(rows)
     pieces = cut_out(made, "text")
@@ -236,7 +295,7 @@ def labelled_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
         before, after = beside(values, parts, i)
         return F.struct(v.alias("value"), before.alias("before"), after.alias("after"))
 
-    return pieces.select(F.inline(F.transform(values, shown)), "label")
+    return pieces.select(F.inline(F.transform(values, shown)), "label", "kind")
 
 
 def fit(findings: DataFrame) -> list[str]:
