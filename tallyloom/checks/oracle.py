@@ -275,6 +275,10 @@ ORACLE: dict[str, str] = {
     "customer_kpi_full": f"{WITH_ACTIVE} {KPI_ACTIVE} ORDER BY {KEY}",
     "customer_kpi_calendar": f"{WITH_CALENDAR} {KPI_CALENDAR}",
     "customer_kpi_incremental": f"{WITH_CALENDAR} {KPI_CALENDAR}",
+    "kpi_calendar_retention": f"""{WITH_CALENDAR}
+        SELECT {KEY}, CASE WHEN p_month IS NULL THEN 'New'
+            WHEN p_month + INTERVAL 1 MONTH = order_month THEN 'Retained'
+            ELSE 'Reactivated' END AS retention_status FROM prev""",
     # kept state
     **{
         name: f"{WITH_CALENDAR} {KPI_CALENDAR}"

@@ -593,6 +593,15 @@ def customer_kpi_incremental(spark, d):
     return src.read_state(spark, target)
 
 
+@query
+def kpi_calendar_retention(spark, d):
+    """Retained by the calendar: built before the split, refreshed with all orders."""
+    target = src.kpi_target(src.scratch_dir(spark), retention_rule="calendar")
+    for day in (SPLIT.date(), dt.date(2100, 1, 1)):
+        run_customer_kpi(spark, before(orders(spark, d), day), target)
+    return src.read_state(spark, target).select(*KEYS, "retention_status")
+
+
 # --- kept state ------------------------------------------------------------------------
 
 

@@ -91,11 +91,15 @@ def _recent_months(orders: DataFrame, since: dt.date, unique_order_id: bool) ->
 
 
 def _refreshed(
-    batch: DataFrame, state: DataFrame, since: dt.date, older: DataFrame | None = None
+    batch: DataFrame,
+    state: DataFrame,
+    since: dt.date,
+    older: DataFrame | None = None,
+    retention_rule: str = "numbers",
 ) -> DataFrame:
     months = _batch_over_stored(batch, _history(state, since, batch, older))
     compared = previous_calendar(months, index=F.col("_index"))
-    return kpi_columns(compared.where(F.col("_stored") == 0), "calendar")
+    return kpi_columns(compared.where(F.col("_stored") == 0), "calendar", retention_rule)
 
 
 def customer_kpi_incremental(
@@ -142,7 +146,7 @@ def _refresh_by_kept_activity(
         same = F.col("customer_id").eqNullSafe(F.col("_customer"))
         asked = older.join(named, same, "left_semi")
         recent = F.col("order_month") >= F.lit(since)
-        rows = _refreshed(batch, state, since, asked)
+        rows = _refreshed(batch, state, since, asked, target.retention_rule)
         upsert(rows, target, touching=recent, unique=True, stored=state)
     finally:
         remove(spark, path)
@@ -174,7 +178,10 @@ def run_customer_kpi(
     if target.lookback == "active":
         if last_active is not None or digests is not None:
             raise ValueError("a target with the active lookback is built in full each time")
-        materialize(customer_kpi(orders, "active", unique_order_id), target)
+        rows = customer_kpi(
+            orders, "active", unique_order_id, retention_rule=target.retention_rule
+        )
+        materialize(rows, target)
         return None
     # Digests are taken first: what comes later is found by the next run.
     now = None if digests is None else collect_digests(orders)
@@ -185,7 +192,10 @@ def run_customer_kpi(
     if last_active is not None and (since is None or late):
         forget_last_active(spark, last_active)
     if since is None:
-        materialize(customer_kpi(orders, "calendar", unique_order_id), target)
+        rows = customer_kpi(
+            orders, "calendar", unique_order_id, retention_rule=target.retention_rule
+        )
+        materialize(rows, target)
     elif late:
         refresh_with_late_months(spark, orders, target, state, since, late, unique_order_id)
     elif last_active is not None:
@@ -193,9 +203,10 @@ def run_customer_kpi(
             spark, orders, target, state, since, unique_order_id, last_active
         )
     else:
-        batch = _refreshed(_recent_months(orders, since, unique_order_id), state, since)
+        batch = _recent_months(orders, since, unique_order_id)
+        rows = _refreshed(batch, state, since, retention_rule=target.retention_rule)
         recent = F.col("order_month") >= F.lit(since)
-        upsert(batch, target, touching=recent, unique=True, stored=state)
+        upsert(rows, target, touching=recent, unique=True, stored=state)
     if digests is not None:
         note_digests(spark, now, digests)
     return since

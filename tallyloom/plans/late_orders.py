@@ -149,7 +149,8 @@ def refresh_with_late_months(
         )
         months = months.withColumn("_index", month_index("order_month"))
         compared = previous_calendar(months, index=F.col("_index"))
-        rows = kpi_columns(compared.where(month.isin(rewritten) | is_recent), "calendar")
+        chosen_rows = compared.where(month.isin(rewritten) | is_recent)
+        rows = kpi_columns(chosen_rows, "calendar", target.retention_rule)
         replace_partitions(rows, target)
     finally:
         remove(spark, path)

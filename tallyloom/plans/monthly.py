@@ -26,13 +26,15 @@ from ..operators.windows import known_key
 MONEY_COLUMNS = ("monthly_revenue", "prev_month_revenue")
 
 
-def kpi_columns(monthly: DataFrame, lookback: str) -> DataFrame:
+def kpi_columns(
+    monthly: DataFrame, lookback: str, retention_rule: str = "numbers"
+) -> DataFrame:
     """KPI rows from customer-months that carry their previous values."""
     labels = {
         "revenue_segment": revenue_segment("monthly_revenue"),
         "frequency_segment": frequency_segment("monthly_orders"),
         "aov_segment": aov_segment("avg_order_value"),
-        "retention_status": retention("order_month", "prev_order_month"),
+        "retention_status": retention("order_month", "prev_order_month", retention_rule),
     }
     if lookback == "active":
         # Here the labels belong to the row by its key, and a null key matches nothing.
@@ -57,6 +59,7 @@ def customer_kpi(
     lookback: str = "active",
     unique_order_id: bool = False,
     ordered: bool = False,
+    retention_rule: str = "numbers",
 ) -> DataFrame:
     """KPI rows of every customer-month.
 
@@ -73,6 +76,6 @@ def customer_kpi(
     monthly = monthly_orders(completed(orders, "order_status"), unique_order_id)
     previous = previous_active if lookback == "active" else previous_calendar
     if not ordered:
-        return kpi_columns(previous(monthly), lookback)
+        return kpi_columns(previous(monthly), lookback, retention_rule)
     in_ranges = monthly.repartitionByRange(F.asc_nulls_last("customer_id"))
-    return sort_kpi(kpi_columns(previous(in_ranges), lookback))
+    return sort_kpi(kpi_columns(previous(in_ranges), lookback, retention_rule))

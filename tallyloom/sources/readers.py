@@ -49,14 +49,15 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*columns)
 
 
-def table_name(schema: str, table: str | None = None) -> str:
-    """``schema.table``, quoted; a table alone is one of ``public``. Only plain identifiers."""
+def table_name(schema: str, table: str | None = None, catalog: str | None = None) -> str:
+    """``[catalog.]schema.table``, quoted; a table alone is one of ``public``. Only plain identifiers."""
     if table is None:
         schema, table = "public", schema
-    for part in (schema, table):
+    parts = [schema, table] if catalog is None else [catalog, schema, table]
+    for part in parts:
         if not _IDENTIFIER.fullmatch(part):
             raise ValueError(f"not a plain identifier: {part!r}")
-    return f"`{schema}`.`{table}`"
+    return ".".join(f"`{part}`" for part in parts)
 
 
 def _load(spark: SparkSession, src: DataFrame | str) -> DataFrame:

@@ -21,7 +21,8 @@ class Target:
     """A Parquet table, in the catalog or at a path (a location with a slash).
 
     ``null_keys`` states that key columns may be null, and that nulls are equal to each other.
-    ``lookback`` says what the earlier values of a KPI table mean. ``buckets`` makes a new catalog table
+    ``lookback`` says what the earlier values of a KPI table mean, ``retention_rule`` what counts as
+    Retained. ``buckets`` makes a new catalog table
     bucketed and sorted by the key besides the partition column: an upsert then joins the stored rows where
     they lie, and a read of one customer opens one bucket.
     """
@@ -33,6 +34,7 @@ class Target:
     null_keys: bool = False
     lookback: str | None = None
     buckets: int | None = None
+    retention_rule: str = "numbers"
 
     def __post_init__(self):
         if self.buckets is not None and (self.is_path or self.buckets < 1):
@@ -62,11 +64,23 @@ def daily_target(location: str, buckets: int | None = None) -> Target:
     return Target(location, schemas.DAILY_STATS, keys, "date", buckets=buckets)
 
 
-def kpi_target(location: str, lookback: str = "calendar", buckets: int | None = None) -> Target:
+def kpi_target(
+    location: str,
+    lookback: str = "calendar",
+    buckets: int | None = None,
+    retention_rule: str = "numbers",
+) -> Target:
     schema = {"calendar": schemas.KPI_CALENDAR, "active": schemas.KPI_ACTIVE}[lookback]
     keys = ("customer_id", "order_month")
     return Target(
-        location, schema, keys, "order_month", null_keys=True, lookback=lookback, buckets=buckets
+        location,
+        schema,
+        keys,
+        "order_month",
+        null_keys=True,
+        lookback=lookback,
+        buckets=buckets,
+        retention_rule=retention_rule,
     )
 
 

@@ -131,3 +131,18 @@ def test_values(spark):
 def test_mean_of_nothing_is_null(spark):
     df = spark.createDataFrame([(None,)], "a decimal(18,2)")
     assert df.agg(fn.mean("a")).first()[0] is None
+
+
+def test_retention_by_the_calendar(spark):
+    months = [
+        ("2024-01-01", "2023-12-01", "Retained"),
+        ("2024-02-01", "2023-01-01", "Reactivated"),
+        ("2024-02-01", "2024-01-01", "Retained"),
+        ("2024-02-01", None, "New"),
+    ]
+    df = spark.createDataFrame(months, "m string, p string, want string")
+    month, prev = F.col("m").cast("date"), F.col("p").cast("date")
+    got = df.select(fn.retention(month, prev, "calendar").alias("got"), "want").collect()
+    assert all(r.got == r.want for r in got)
+    with pytest.raises(ValueError, match="must be"):
+        fn.retention("m", "p", "yearly")

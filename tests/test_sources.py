@@ -54,6 +54,9 @@ def test_missing_column_is_named(spark, make_orders):
 
 def test_table_name():
     assert sources.table_name("dev", "sales") == "`dev`.`sales`"
+    assert sources.table_name("dev", "sales", "lake") == "`lake`.`dev`.`sales`"
+    with pytest.raises(ValueError):
+        sources.table_name("dev", "sales", "lake;drop")
     for bad in ("a.b", "a`b", "", "a b", "1a", "a\n"):
         with pytest.raises(ValueError):
             sources.table_name("dev", bad)
