@@ -16,7 +16,7 @@ empty table gives no rows. Only the named columns are read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import lru_cache
 
 import numpy as np
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .html_blocks import Block, Node, leaf_blocks
+from .html_blocks import KEPT_NODES, Block, Node, leaf_blocks
 from .labelled_pages import labelled_pages
 
 
@@ -82,6 +82,10 @@ class Crf:
     weight: dict[str, float]  # score of label 1; label 0 scores 0
     start: tuple[float, float]
     move: tuple[tuple[float, float], tuple[float, float]]
+    _known: dict = field(default_factory=dict, repr=False, compare=False)  # scores of paths
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_known": {}}  # tasks begin with a table of their own
 
     def _path_score(self, path: Node | None, known: dict) -> float:
         """A path's score is that of the path around plus what its last element adds; ``known`` keeps both."""
@@ -109,7 +113,9 @@ class Crf:
         if not blocks:
             return []
         (m00, m01), (m10, m11) = self.move
-        known: dict = {}
+        known = self._known
+        if len(known) > 2 * KEPT_NODES:
+            known.clear()
         best0, best1 = self.start[0], self.start[1] + self._score(blocks[0], known)
         back: list[tuple[int, int]] = []
         for block in blocks[1:]:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter
 from collections.abc import Generator
 from dataclasses import dataclass
 
@@ -45,7 +44,7 @@ FENCES = {"table", "td", "th", "button", "article", "section", "main", "div", "b
 
 @dataclass(slots=True, eq=False)
 class Node:
-    """An open element, with those around it. Blocks of one page share their nodes."""
+    """An open element, with those around it, which blocks share."""
 
     parent: Node | None
     tag: str
@@ -62,6 +61,11 @@ class Block:
     linked: int
 
 
+#: Nodes of equal paths are one object, also of different pages, up to so many.
+KEPT_NODES = 20_000
+_NODES: dict[tuple[Node | None, str, tuple[str, ...]], Node] = {}
+
+
 class Open:
     """The open elements. Finding the last one of a kind takes no search."""
 
@@ -69,41 +73,58 @@ class Open:
         self.stack: list[Node] = []
         self.places: dict[str, list[int]] = {}
         self.blocks: list[int] = []  # places of those that are not inline
-        self.named: Counter[str] = Counter()
+        self.named: dict[str, int] = {}
 
     def top(self) -> Node | None:
         return self.stack[-1] if self.stack else None
 
     def push(self, tag: str, parts: tuple[str, ...]) -> None:
-        places = self.places.setdefault(tag, [])
-        new = [] if places else [f"in {tag}"]
-        new += [f"named {p}" for p in parts if not self.named[p]]
-        places.append(len(self.stack))
+        stack, named = self.stack, self.named
+        key = (stack[-1] if stack else None, tag, parts)
+        node = _NODES.get(key)
+        places = self.places.get(tag)
+        if places is None:
+            places = self.places[tag] = []
+        if node is None:
+            new = [] if places else [f"in {tag}"]
+            new += [f"named {p}" for p in parts if not named.get(p)]
+            if len(_NODES) >= KEPT_NODES:
+                _NODES.clear()
+            node = _NODES[key] = Node(*key, tuple(new))
+        places.append(len(stack))
         if tag not in INLINE:
-            self.blocks.append(len(self.stack))
-        self.named.update(parts)
-        self.stack.append(Node(self.top(), tag, parts, tuple(new)))
+            self.blocks.append(len(stack))
+        for p in parts:
+            named[p] = named.get(p, 0) + 1
+        stack.append(node)
 
     def last(self, tags: set[str]) -> int:
-        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+        found = -1
+        for t in tags:
+            places = self.places.get(t)
+            if places and places[-1] > found:
+                found = places[-1]
+        return found
 
     def cut(self, place: int) -> None:
         """End the elements from this place on."""
         while len(self.stack) > place:
             node = self.stack.pop()
             self.places[node.tag].pop()
-            self.named.subtract(node.parts)
+            for p in node.parts:
+                self.named[p] -= 1
         while self.blocks and self.blocks[-1] >= place:
             self.blocks.pop()
 
     def end(self, names: set[str], fences: set[str]) -> None:
         """End the last element of these names, if no fence is open within it."""
         place = self.last(names)
-        if place > self.last(fences):
+        if place >= 0 and place > self.last(fences):
             self.cut(place)
 
     def close(self, tag: str) -> None:
-        place = self.last({tag})
+        places = self.places.get(tag)
+        place = places[-1] if places else -1
         # The end of an inline element doesn't reach beyond a block.
         if place >= 0 and not (tag in INLINE and self.blocks and self.blocks[-1] > place):
             self.cut(place)
@@ -187,7 +208,8 @@ def leaf_blocks(page: str) -> list[Block]:
     found = next(markup, None)
     while found is not None:
         begin, end, m = found
-        add(page[done:begin])
+        if done < begin:
+            add(page[done:begin])
         done = end
         skip = None
         if m is not None:
