@@ -203,22 +203,29 @@ class Forest:
 
 
 def _least(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """For each of n rows the least row it is connected with."""
+    """For each of n rows the least row it is connected with.
+
+    Pairs are folded in as they arrive, so what is held grows with the rows and not with the pairs.
+    """
     label = np.arange(n)
-    kept_pairs = []
     for a, b in pairs:
-        kept_pairs.append(np.stack([a, b]))
-    a, b = np.concatenate(kept_pairs, axis=1) if kept_pairs else np.zeros((2, 0), np.int64)
-    while True:
-        least = np.minimum(label[a], label[b])
-        before = label.copy()
-        np.minimum.at(label, a, least)
-        np.minimum.at(label, b, least)
-        np.minimum.at(label, before[a], least)
-        np.minimum.at(label, before[b], least)
-        label = label[label]
-        if (label == before).all():
-            return label
+        a, b = label[a], label[b]
+        joins = a != b
+        a, b = a[joins], b[joins]
+        while len(a):
+            least = np.minimum(label[a], label[b])
+            before = label.copy()
+            np.minimum.at(label, a, least)
+            np.minimum.at(label, b, least)
+            np.minimum.at(label, before[a], least)
+            np.minimum.at(label, before[b], least)
+            label = label[label]
+            if (label == before).all():
+                break
+        # a row points to the least of its rows, whatever it was joined with before
+        while (label[label] != label).any():
+            label = label[label]
+    return label
 
 
 def star_links(shard_rows: DataFrame, max_bits: int) -> DataFrame:

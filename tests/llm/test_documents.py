@@ -203,6 +203,43 @@ def test_rows_that_stay_are_found_however_files_are_cut(spark, docs, tmp_path, o
     assert ids == sorted({c for _, _, c in linked(docs)})
 
 
+def test_pairs_are_folded_in_as_they_come():
+    rng = np.random.default_rng(2)
+    for n, links in ((1, 0), (50, 20), (400, 380), (3000, 5000)):
+        a, b = rng.integers(0, n, (2, links))
+        want = list(range(n))
+
+        def top(x):
+            while want[x] != x:
+                x = want[x]
+            return x
+
+        for x, y in zip(a.tolist(), b.tolist()):
+            x, y = sorted((top(x), top(y)))
+            want[y] = x
+        for size in (1, 7, links or 1):
+            chunks = ((a[i : i + size], b[i : i + size]) for i in range(0, links, size))
+            assert simhash._least(n, chunks).tolist() == [top(x) for x in range(n)]
+
+
+def test_a_crowd_takes_memory_in_proportion_to_its_rows():
+    import tracemalloc
+
+    # 20,000 fingerprints within few bits of each other: over ten million pairs
+    rng = np.random.default_rng(4)
+    n = 20_000
+    flips = np.zeros(n, np.uint64)
+    for _ in range(3):
+        flips ^= np.uint64(1) << rng.integers(0, 24, n).astype(np.uint64)
+    prints = np.unique(np.uint64(0x0123456789ABCDEF) ^ flips)
+    forest = simhash.Forest(prints, np.zeros(len(prints), np.int64))
+    tracemalloc.start()
+    label = simhash._least(len(prints), forest.search(3, np.arange(len(prints))))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert not label.any() and peak < 400e6
+
+
 # --- mixing ------------------------------------------------------------------------------
 
 
