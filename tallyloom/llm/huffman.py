@@ -47,7 +47,7 @@ from .shared import shared_folder
 
 LONGEST = 18
 CHUNK = 1 << 18
-BLOCK = 512
+BLOCK = 256
 FILE_CHUNKS = 128
 #: Characters that are encoded together.
 PORTION = 4 << 20

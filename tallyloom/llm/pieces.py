@@ -123,6 +123,7 @@ def _shown() -> dict[int, int]:
 
 
 SHOWN = _shown()
+BLANK_SHOWN = chr(SHOWN[BLANK])
 #: Letters below this one are letters in every version of Unicode.
 SETTLED = "\u0250"
 
@@ -174,13 +175,16 @@ class Pieces:
         """Encode new stretches; their numbers."""
         texts = [s.decode("utf-8", "surrogatepass") for s in stretches]
         ids: list = [None] * len(texts)
-        plain = []
+        plain, merges = [], self.library.model.tokenize
         for i, t in enumerate(texts):
             word = t.removeprefix(" ")
-            if word.isalpha() and max(word) < SETTLED:
+            if word.isalpha() and (word.isascii() or max(word) < SETTLED):
                 # Letters alone are one piece: its bytes go to the library's merges as they are.
-                shown = stretches[i].decode("latin-1").translate(SHOWN)
-                ids[i] = [x.id for x in self.library.model.tokenize(shown)]
+                if word.isascii():
+                    shown = word if len(word) == len(t) else BLANK_SHOWN + word
+                else:
+                    shown = stretches[i].decode("latin-1").translate(SHOWN)
+                ids[i] = [x.id for x in merges(shown)]
             elif self.line is not None and PLAIN(t):
                 plain.append(i)
         # Stretches without white space but a leading blank are cut off each other by line ends.
@@ -203,9 +207,11 @@ class Pieces:
 
     def _numbers(self, known: Known, keys: np.ndarray, cut) -> np.ndarray:
         """Numbers of the stretches with these keys; ``cut`` gives the bytes of some of them."""
-        distinct, first, of = np.unique(keys, return_index=True, return_inverse=True)
+        distinct, of = np.unique(keys, return_inverse=True)
         number, new = known.find(distinct)
         if new.any():
+            first = np.empty(len(distinct), np.int64)
+            first[of] = np.arange(len(keys))  # any place of each key will do
             number[new] = self.learn(cut(first[new]))
             known.add(distinct[new], number[new])
         return number[of]
